@@ -17,9 +17,10 @@ from ..functions.exprs import hash_text, value_bucket
 BEFORE, TOTAL = "cum_before", "cum_total"
 
 
-def cumulate(df: DataFrame, amount: str, bucket: Sequence[Column], order: Sequence[Column],
-             partition: Sequence[str] = ()) -> DataFrame:
-    """Add `cum_before` and `cum_total` of `amount` along `order` inside each `partition`.
+def cumulate_many(df: DataFrame, amounts: dict[str, tuple[str, str]], bucket: Sequence[Column],
+                  order: Sequence[Column], partition: Sequence[str] = ()) -> DataFrame:
+    """For each amount column add the sum of the rows ahead of it and the sum of its partition,
+    under the two given names, along `order` inside each `partition`.
 
     `bucket` must be a coarsening of `order`: sorting by bucket first and by `order` inside it
     has to give the same sequence. Partition columns must not be null.
@@ -27,18 +28,25 @@ def cumulate(df: DataFrame, amount: str, bucket: Sequence[Column], order: Sequen
     names = [f"__b{i}" for i in range(len(bucket))]
     keys = [*partition, *names]
     d = df.select("*", *[b.alias(n) for b, n in zip(bucket, names)])
-    totals = d.groupBy(*keys).agg(F.sum(amount).alias("__sum"))
+    totals = d.groupBy(*keys).agg(*[F.sum(a).alias(f"__s_{a}") for a in amounts])
     group = Window.partitionBy(*(partition or [F.lit(0)]))
     ahead = group.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__offset"),
-        F.sum("__sum").over(group).alias(TOTAL))
+        *keys, *[F.coalesce(F.sum(f"__s_{a}").over(ahead), F.lit(0)).alias(f"__o_{a}") for a in amounts],
+        *[F.sum(f"__s_{a}").over(group).alias(total) for a, (_, total) in amounts.items()])
     inside = (Window.partitionBy(*keys).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = d.withColumn("__run", F.sum(amount).over(inside) - F.col(amount))
+    run = d.withColumns({f"__r_{a}": F.sum(a).over(inside) - F.col(a) for a in amounts})
     return (run.join(offsets, keys)
-            .withColumn(BEFORE, F.col("__offset") + F.col("__run"))
-            .drop(*names, "__offset", "__run"))
+            .withColumns({before: F.col(f"__o_{a}") + F.col(f"__r_{a}")
+                          for a, (before, _) in amounts.items()})
+            .drop(*names, *[f"__{k}_{a}" for a in amounts for k in "or"]))
+
+
+def cumulate(df: DataFrame, amount: str, bucket: Sequence[Column], order: Sequence[Column],
+             partition: Sequence[str] = ()) -> DataFrame:
+    """Add `cum_before` and `cum_total` of one amount; see `cumulate_many`."""
+    return cumulate_many(df, {amount: (BEFORE, TOTAL)}, bucket, order, partition)
 
 
 def value_counts(df: DataFrame, value: str, partition: Sequence[str] = (),

@@ -99,7 +99,7 @@ class Workspace:
         """Analytic base table: one row per pupil present, features, response, weight, part.
         The pupils are joined once, to the context of their network."""
         pupils = ctx.modelable_population(self.alunos_now)
-        context = self._stored("contexto", self.unit_context, FEATURES[:1])
+        context = self.stored("contexto", self.unit_context, FEATURES[:1])
         return (pupils.join(context, UNIT, "left")
                 .join(self.split(), "id_municipio")
                 .select("ano", "id_municipio", *FEATURES_ORDERED, "alvo", "peso_aluno", "particao"))
@@ -110,14 +110,15 @@ class Workspace:
                       F.count(F.lit(1)).alias("alunos"), F.sum(y).alias("alfabetizados"),
                       F.sum("peso_aluno").alias("peso_total"),
                       F.sum(F.col("peso_aluno") * y).alias("peso_alfabetizados")))
-        context = self._stored("contexto", self.unit_context, FEATURES[:1])
+        context = self.stored("contexto", self.unit_context, FEATURES[:1])
         rate = F.lit(100.0) * F.col("peso_alfabetizados") / F.col("peso_total")
         return (pupils.join(context, UNIT, "left").join(self.split(), "id_municipio")
                 .withColumn("taxa_real", rate)
                 .withColumn("bateu_meta", (F.col("taxa_real") >= self.cycle.unit_target).cast("int"))
                 .withColumn("unidade", F.concat_ws("/", "id_municipio", "rede_nome")))
 
-    def _stored(self, name: str, build, required=()) -> DataFrame:
+    def stored(self, name: str, build, required=()) -> DataFrame:
+        """A result several reports share, written once per application."""
         key = self.sf_dir.strip("/").replace("/", "_")
         return materialize_if_stale(self.spark, run_folder(self.spark, "ml", name, key), build,
                                     required)[0]
@@ -125,7 +126,7 @@ class Workspace:
     @cached_property
     def units(self) -> DataFrame:
         """All networks, private ones too, as the exploratory profile uses them."""
-        return self._stored("unidades", self._unit_plan, ["unidade", "taxa_real"])
+        return self.stored("unidades", self._unit_plan, ["unidade", "taxa_real"])
 
     @cached_property
     def redes(self) -> DataFrame:

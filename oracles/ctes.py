@@ -29,7 +29,10 @@ def with_blocks(sql: str, extra: dict[str, str] | None = None) -> str:
     if not order:
         return sql
     head = ",\n".join(f"{n} AS MATERIALIZED ({blocks[n]})" for n in order)
-    return f"WITH {head}\n{sql}"
+    body = sql.strip()
+    if body.upper().startswith("WITH "):
+        return f"WITH {head},\n{body[5:]}"
+    return f"WITH {head}\n{body}"
 
 
 def block(name: str, sql: str) -> None:

@@ -4,7 +4,7 @@ All of them are plain JVM expressions, so they stay inside whole-stage code gene
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_OCTAVE = 2048
@@ -94,3 +94,9 @@ def is_label_one(c) -> Column:
 
 def sign(c) -> Column:
     return F.signum(col(c)).cast("int")
+
+
+def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
+    """Add the columns of a table that has exactly one row (an aggregate without groups) to
+    every row: Spark ships the single row to the tasks, nothing is paired or shuffled."""
+    return df.crossJoin(F.broadcast(totals))

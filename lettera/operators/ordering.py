@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash_text, value_bucket
+from ..functions.exprs import hash_text, value_bucket, with_totals
 
 BEFORE, TOTAL = "cum_before", "cum_total"
 
@@ -156,7 +156,7 @@ def equal_frequency_bins(df: DataFrame, value: str, tie: str, amount: str, n: in
     if partition:
         out = out.join(distinct, list(partition))
     else:
-        out = out.crossJoin(F.broadcast(distinct))
+        out = out.transform(with_totals, distinct)
     return out.where(F.col("__values") >= n).drop("__values")
 
 

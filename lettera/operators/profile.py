@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import histogram_bin, ratio
+from ..functions.exprs import histogram_bin, ratio, with_totals
 from .ordering import cumulated_counts, quantile_columns, value_counts
 from .prepare import to_long
 
@@ -62,7 +62,7 @@ def column_profile(units: DataFrame, numeric: Sequence[str], categorical: Sequen
         f"{VAR} string, tipo string")
     found = stats.drop("m2", "m3", "m4").unionByName(cat, allowMissingColumns=True)
     d = (F.broadcast(types).join(found, VAR, "left")
-         .crossJoin(F.broadcast(total_rows(units, weight))))
+         .transform(with_totals, total_rows(units, weight)))
     fill = F.lit(100.0) * F.coalesce("n", F.lit(0)) / F.col("__rows")
     distinct = F.coalesce("distintos", F.lit(0))
     zero = F.lit(100.0) * F.col("zeros") / F.col("n")
@@ -107,8 +107,7 @@ def category_counts(units: DataFrame, categorical: Sequence[str], weight: str =
 
 
 def categorical_profile(units: DataFrame, categorical: Sequence[str], weight: str = "alunos") -> DataFrame:
-    counts = category_counts(units, categorical, weight).crossJoin(
-        F.broadcast(total_rows(units, weight)))
+    counts = category_counts(units, categorical, weight).transform(with_totals, total_rows(units, weight))
     mode = F.min_by("categoria", F.struct(-F.col("n"), F.col("categoria")))
     return counts.groupBy(VAR).agg(
         F.count("categoria").alias("categorias"),
@@ -124,7 +123,7 @@ def rare_categories(units: DataFrame, categorical: Sequence[str], limit: int,
                     weight: str = "alunos") -> DataFrame:
     """Categories with fewer than `limit` rows, their share and response rate."""
     return (category_counts(units, categorical, weight)
-            .crossJoin(F.broadcast(total_rows(units, weight))).where(F.col("n") < limit)
+            .transform(with_totals, total_rows(units, weight)).where(F.col("n") < limit)
             .select(VAR, "categoria", "n", (F.lit(100.0) * F.col("n") / F.col("__rows")).alias("pct"),
                     (F.lit(100.0) * F.col("sim") / F.col("n")).alias("taxa")))
 
@@ -174,7 +173,7 @@ def missing_patterns(units: DataFrame, columns: Sequence[str], weight: str = "al
     flags = F.concat(*[F.when(F.col(c).isNull(), "X").otherwise(".") for c in columns])
     return (units.select(flags.alias("padrao"), weight).groupBy("padrao")
             .agg(F.sum(weight).alias("linhas"))
-            .crossJoin(F.broadcast(total_rows(units, weight)))
+            .transform(with_totals, total_rows(units, weight))
             .select("padrao", "linhas", (F.lit(100.0) * F.col("linhas") / F.col("__rows")).alias("pct"),
                     F.regexp_count("padrao", F.lit("X")).alias("variaveis_ausentes")))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BANDS
-from ..functions.exprs import band, histogram_bin, pct, ratio
+from ..functions.exprs import band, histogram_bin, pct, ratio, with_totals
 from .ordering import BEFORE, TOTAL, quantiles, running_total
 from .prepare import to_long
 
@@ -37,7 +37,7 @@ def gains(redes: DataFrame, target: float) -> DataFrame:
     """What the country would gain if each flagged unit just reached the target."""
     gain = (F.lit(100.0) * (F.lit(target / 100) * F.col("peso_total") - F.col("peso_alfabetizados"))
             / F.col("peso_nacional"))
-    return (flagged_and_missed(redes).crossJoin(F.broadcast(national(redes)))
+    return (flagged_and_missed(redes).transform(with_totals, national(redes))
             .withColumn("ganho_pp", gain))
 
 
@@ -63,7 +63,7 @@ def risk_summary(redes: DataFrame, target: float, top: int = 15) -> DataFrame:
                     (F.count_if(half) + 1).alias("redes_para_metade_do_ganho"))
     first = g.orderBy(F.col("ganho_pp").desc(), F.md5("unidade"), "unidade").limit(top).agg(
         F.sum("ganho_pp").alias("quinze_primeiras_pp"))
-    return (flagged.crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(first)).select(
+    return (flagged.transform(with_totals, whole).transform(with_totals, first).select(
         "apontadas", "confirmadas", "alunos", "taxa_nacional",
         (F.col("taxa_nacional") + F.col("ganho")).alias("taxa_se_todas_cumprissem"),
         "quinze_primeiras_pp", pct("quinze_primeiras_pp", "ganho").alias("quinze_primeiras_pct_do_ganho"),
@@ -86,17 +86,16 @@ def silhouettes(redes: DataFrame) -> DataFrame:
 
 
 def region_overlap(redes: DataFrame) -> DataFrame:
-    """Sum of the smaller share, step by step, for every pair of regions, both ways round. Steps
-    without a unit in either region add nothing, so an equi-join on the step is enough."""
-    s = silhouettes(redes)
+    """Sum of the smaller share, step by step, for every pair of regions, both ways round. Every
+    region has all ten steps, so an equi-join on the step meets all pairs of regions."""
+    seen = silhouettes(redes)
+    steps = seen.select("nome_regiao").distinct().withColumn(
+        "pedaco", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    s = steps.join(seen, ["nome_regiao", "pedaco"], "left").fillna({"fracao": 0.0})
     a = s.select(F.col("nome_regiao").alias("regiao_a"), "pedaco", F.col("fracao").alias("fa"))
     b = s.select(F.col("nome_regiao").alias("regiao_b"), "pedaco", F.col("fracao").alias("fb"))
-    met = a.join(b, "pedaco").groupBy("regiao_a", "regiao_b").agg(
+    return a.join(b, "pedaco").groupBy("regiao_a", "regiao_b").agg(
         (F.lit(100.0) * F.sum(F.least("fa", "fb"))).alias("sobreposicao"))
-    names = s.select("nome_regiao").distinct()
-    every = names.select(F.col("nome_regiao").alias("regiao_a")).crossJoin(
-        F.broadcast(names.select(F.col("nome_regiao").alias("regiao_b"))))
-    return every.join(met, ["regiao_a", "regiao_b"], "left").fillna({"sobreposicao": 0.0})
 
 
 def region_profile(redes: DataFrame) -> DataFrame:
@@ -130,7 +129,7 @@ def probability_bands(redes: DataFrame, test: DataFrame) -> DataFrame:
                                      F.sum("alunos").alias("alunos_pais"))
     whole = m.agg(F.count(F.lit(1)).alias("__m"), F.sum("alunos").alias("__a"))
     d = (band_skeleton(redes).join(seen, "faixa", "left").join(med, "faixa", "left")
-         .join(country, "faixa", "left").crossJoin(F.broadcast(whole)))
+         .join(country, "faixa", "left").transform(with_totals, whole))
     zero = ["redes_teste", "alunos_teste", "municipios_pais", "alunos_pais"]
     d = d.fillna(0, zero)
     return d.select("faixa", *zero[:2], "taxa_mediana_2024", "nao_cumpriram_pct", "cumpriram_pct",
@@ -197,7 +196,7 @@ def unit_error(rows: DataFrame, key: str) -> DataFrame:
     g = g.withColumn("erro", F.abs(F.col("prevista") - F.col("real")))
     med = quantiles(g, "erro", {"erro_absoluto_mediano": .5})
     rest = g.agg(F.count(F.lit(1)).alias("grupos"), F.corr("prevista", "real").alias("correlacao"))
-    return rest.crossJoin(F.broadcast(med))
+    return rest.transform(with_totals, med)
 
 
 def slice_report(test: DataFrame, state: str, min_stable: int, measure) -> DataFrame:

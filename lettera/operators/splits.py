@@ -30,12 +30,3 @@ def group_folds(df: DataFrame, key: str, seed: int, folds: int) -> DataFrame:
 def sample_rows(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
     """`n` rows in hash order: a seeded draw that needs no shuffle of the whole table."""
     return df.orderBy(hash_text(key, f"amostra{seed}"), key).limit(n)
-
-
-def permuted(df: DataFrame, key: str, columns: list[str], seed) -> DataFrame:
-    """Shuffle `columns` jointly over the rows: each row takes them from the next row in a
-    seeded hash order. Rows keep the rest; one rank and one equi-join."""
-    pos = hash_positions(df, key, f"perm{seed}")
-    d = df.join(pos, key)
-    donor = d.select(*columns, (F.col("pos") % F.col("cum_total") + 1).alias("pos"))
-    return d.drop(*columns).join(donor, "pos").drop("pos", "cum_total")

@@ -5,18 +5,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import PUBLIC_NETWORKS
-from ..functions.exprs import band, pct, ratio
+from ..functions.exprs import band, pct, ratio, with_totals
 from ..functions.metadata import (BLOCKS, CATEGORICAL, FEATURES, HYPOTHESIS_OF, INDICATORS,
                                   NUMERIC, variable_metadata)
-from ..operators import curation, prepare, profile, relations
-from ..operators.moments import (correlation_of, correlation_pairs, matrix_of,
-                                 vif_from_correlation)
+from ..operators import context as ctx
+from ..operators import curation, guards, prepare, profile, relations
+from ..operators.moments import correlation_pairs, matrix_of, vif_from_correlation
 from ..operators.ordering import quantiles
-from ..operators.splits import permuted  # noqa: F401  (part of the public surface)
-from .workspace import UNIT, Workspace
+from .workspace import Workspace
 
 RARE_LIMIT = 300
-NOT_ACTIONABLE = ("H8", "controle")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -83,8 +81,6 @@ def large_unit_effect(ws):
 
 def top_bottom(ws):
     """Five largest and smallest state medians; five first municipalities by a skewed value."""
-    from ..operators import context as ctx
-
     net = ctx.network_context(ws.tables.municipio([ws.cycle.previous]), ws.cycle) \
         .join(ws.census.select("id_municipio", "sigla_uf"), "id_municipio")
     bench = net.select("sigla_uf", "rede_nome", "uf_rede_taxa_ant").distinct()
@@ -253,7 +249,7 @@ def spearman_pairs(ws) -> DataFrame:
 
 
 def response_correlation(ws):
-    d = correlations(ws).crossJoin(F.broadcast(ceiling(ws).select("teto")))
+    d = correlations(ws).transform(with_totals, ceiling(ws).select("teto"))
     return rounded(d.withColumn("pct_do_teto", F.lit(100.0) * F.abs("spearman") / F.col("teto"))
                    .drop("teto"))
 
@@ -377,8 +373,6 @@ def decision_list(ws):
 
 
 def check_decisions(ws):
-    from ..operators import guards
-
     lista, base = _decisions(ws)
     features = ws.spark.createDataFrame([(f,) for f in FEATURES], "variavel string")
     groups = base.select(F.col("representante").alias("variavel"), "membros")

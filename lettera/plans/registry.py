@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import base_queries, profile_queries, report_queries
+from . import base_queries, model_queries, profile_queries, report_queries
 from .workspace import Workspace
 
 _spaces: dict[tuple[str, str], Workspace] = {}
@@ -20,7 +20,7 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {}
-    for module in (base_queries, profile_queries, report_queries):
+    for module in (base_queries, profile_queries, report_queries, model_queries):
         for name, build in module.QUERIES.items():
             found[name] = lambda spark, sf_dir, b=build: b(workspace(spark, sf_dir))
     return found

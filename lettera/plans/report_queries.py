@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash_number
+from ..functions.exprs import hash_number, with_totals
 from ..functions.metadata import FACTORS
 from ..operators import metrics, reports
 from ..operators.ordering import quantiles
@@ -78,7 +78,7 @@ def fold_rows(ws):
     d = train.join(group_folds(train, "id_municipio", ws.cycle.seed, ws.cycle.folds), "id_municipio")
     per = d.groupBy("fold").agg(F.sum("alunos").alias("n"), F.sum("alfabetizados").alias("y"))
     whole = per.agg(F.sum("n").alias("tn"), F.sum("y").alias("ty"))
-    rest = per.crossJoin(F.broadcast(whole)).select(
+    rest = per.transform(with_totals, whole).select(
         "fold", ((F.col("ty") - F.col("y")) / (F.col("tn") - F.col("n"))).alias("taxa_treino"))
     return weighted_groups(d.join(F.broadcast(rest), "fold"))      # one row per fold
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import Cycle, DEMO, PRIVATE
 from ..functions.exprs import hash_number, is_label_one
-from ..functions.metadata import CATEGORICAL, FEATURES, NUMERIC
+from ..functions.metadata import FEATURES
 from ..operators import context as ctx
 from ..operators.splits import split_by_group
 from ..sources.demo import DemoTables
@@ -89,7 +89,7 @@ class Workspace:
         for label, df, keys in self.sources():
             if label != "porte da rede":
                 out = out.join(df, keys, "left")
-        return ctx.derived_columns(out)
+        return ctx.derived_columns(out).join(self.split(), "id_municipio", "left")
 
     def split(self) -> DataFrame:
         pupils = self.alunos_now.where("presente")
@@ -97,12 +97,18 @@ class Workspace:
 
     def abt(self) -> DataFrame:
         """Analytic base table: one row per pupil present, features, response, weight, part.
-        The pupils are joined once, to the context of their network."""
+
+        The pupils are joined once, to the context of their network; a network that holds a
+        large share of them is split by the adaptive skew join, as nothing after the join needs
+        its partitioning.
+        """
         pupils = ctx.modelable_population(self.alunos_now)
-        context = self.stored("contexto", self.unit_context, FEATURES[:1])
-        return (pupils.join(context, UNIT, "left")
-                .join(self.split(), "id_municipio")
-                .select("ano", "id_municipio", *FEATURES_ORDERED, "alvo", "peso_aluno", "particao"))
+        return (pupils.join(self.context, UNIT, "left")
+                .select("ano", "id_municipio", *FEATURES, "alvo", "peso_aluno", "particao"))
+
+    @cached_property
+    def context(self) -> DataFrame:
+        return self.stored("contexto", self.unit_context, ["particao"])
 
     def _unit_plan(self) -> DataFrame:
         y = is_label_one("alfabetizado")
@@ -110,9 +116,8 @@ class Workspace:
                       F.count(F.lit(1)).alias("alunos"), F.sum(y).alias("alfabetizados"),
                       F.sum("peso_aluno").alias("peso_total"),
                       F.sum(F.col("peso_aluno") * y).alias("peso_alfabetizados")))
-        context = self.stored("contexto", self.unit_context, FEATURES[:1])
         rate = F.lit(100.0) * F.col("peso_alfabetizados") / F.col("peso_total")
-        return (pupils.join(context, UNIT, "left").join(self.split(), "id_municipio")
+        return (pupils.join(self.context, UNIT, "left")
                 .withColumn("taxa_real", rate)
                 .withColumn("bateu_meta", (F.col("taxa_real") >= self.cycle.unit_target).cast("int"))
                 .withColumn("unidade", F.concat_ws("/", "id_municipio", "rede_nome")))
@@ -146,6 +151,3 @@ class Workspace:
         return (self.redes.withColumn("p_cumprir", p)
                 .withColumn("p_cumprir_pct", F.round(F.lit(100.0) * F.col("p_cumprir"), 2))
                 .withColumn("risco", F.round(F.lit(100.0) * (1 - F.col("p_cumprir")), 2)))
-
-
-FEATURES_ORDERED = [f for f in FEATURES if f in CATEGORICAL or f in NUMERIC]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import with_totals
 from ..functions.exprs import hash_number as h
 from ..functions.exprs import recode
 
@@ -205,7 +206,7 @@ class DemoTables:
         # deaths are summed per person first, then spread over the places
         d = self.raw("events").groupBy("user_id", F.year("ts").alias("y")) \
             .agg(F.count(F.lit(1)).alias("n"))
-        d = d.crossJoin(F.broadcast(self.place_count()))
+        d = d.transform(with_totals, self.place_count())
         code = F.col("user_id") % 30
         d = d.select((F.col("y") - 25).alias("ano"),
                      (h("user_id", "sim") % F.col("n_places")).alias("l_suppkey"),
@@ -281,7 +282,7 @@ class DemoTables:
                         .alias("inse"))
 
     def sinasc(self) -> DataFrame:
-        d = self.raw("customer").select("c_custkey").crossJoin(F.broadcast(self.place_count()))
+        d = self.raw("customer").select("c_custkey").transform(with_totals, self.place_count())
         d = d.select(
             (F.lit(1990) + h("c_custkey", "ano") % 5).cast("int").alias("ano"),
             (h("c_custkey", "lugar") % F.col("n_places")).alias("l_suppkey"),

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
-from lettera.functions.metadata import FEATURES, NOT_FEATURES, NUMERIC
+from lettera.constants import CONTRACT
+from lettera.functions.metadata import FEATURES, NUMERIC
 
-from .ctes import BLOCKS, block, h
+from .ctes import block, h
+
+SOURCE = {"alunos": "t_alunos", "municipio": "t_municipio", "indicador_municipio": "t_indicador"}
 
-ALL = ", ".join(f"'{f}'" for f in FEATURES)
 block("c_redes", """
 SELECT particao, id_municipio, rede_nome, count(*) AS alunos, sum(alvo)::BIGINT AS alfabetizados,
        sum(peso_aluno) AS peso_total, sum(peso_aluno * alvo) AS peso_alfabetizados,
@@ -91,6 +93,12 @@ FROM c_porte_rede p LEFT JOIN c_escola e ON p.id_municipio = e.id_municipio AND
     "network_table": """
 SELECT particao, id_municipio, rede_nome, alunos, alfabetizados, peso_total, peso_alfabetizados, taxa_real,
        bateu_meta FROM c_redes""",
+    "check_contract": " UNION ALL ".join(
+        f"SELECT '{t}' AS tabela, '{c}' AS coluna, 'ok' AS situacao, (SELECT count(*) FROM {SOURCE[t]}) AS linhas"
+        for t, cs in CONTRACT.items() for c in cs),
+    "audit_leakage": " UNION ALL ".join(
+        f"SELECT '{f}' AS variavel, 'ok' AS situacao, count(*) AS redes_com_valor FROM (SELECT any_value({f}) AS x "
+        f"FROM c_abt GROUP BY id_municipio, rede_nome) WHERE x IS NOT NULL" for f in FEATURES),
     "check_join_fanout": " UNION ALL ".join(dup(*f) for f in FANOUT),
     "check_unique_key": """
 SELECT 'fonte' AS tabela, count(*) AS chaves_repetidas FROM

@@ -1,7 +1,8 @@
 from __future__ import annotations
 
-from lettera.functions.metadata import (BLOCKS as SOURCE_BLOCKS, CATEGORICAL, FEATURES, HYPOTHESIS_OF,
-                                        INDICATORS, NUMERIC)
+from lettera.constants import DEMO
+from lettera.functions.metadata import (BLOCKS as SOURCE_BLOCKS, CATEGORICAL, FEATURES, FORMULAS, HYPOTHESIS_OF,
+                                        INDICATORS, NUMERIC, grain, references)
 
 from .ctes import block
 
@@ -132,6 +133,25 @@ block("p_categorias", " UNION ALL ".join(
     f"SELECT '{c}' AS variavel, {c} AS categoria, count(*) AS n, sum(alvo) AS sim FROM c_abt GROUP BY {c}"
     for c in CATEGORICAL))
 FLAGS = " || ".join(f"CASE WHEN {c} IS NULL THEN 'X' ELSE '.' END" for c in SOURCE_BLOCKS.values())
+block("p_redes_longa", f"""
+SELECT * FROM (SELECT id_municipio || '/' || rede_nome AS unidade, {COLS} FROM c_redes WHERE particao = 'treino')
+UNPIVOT INCLUDE NULLS (valor FOR variavel IN ({NAMES}))""")
+block("p_par_a_par", """
+SELECT a, b, nullif(corr(ra, rb), 'NaN'::DOUBLE) AS rho FROM (
+  SELECT x.variavel AS a, y.variavel AS b,
+         rank() OVER (PARTITION BY x.variavel, y.variavel ORDER BY x.valor)
+         + (count(*) OVER (PARTITION BY x.variavel, y.variavel, x.valor) - 1) / 2.0::DOUBLE AS ra,
+         rank() OVER (PARTITION BY x.variavel, y.variavel ORDER BY y.valor)
+         + (count(*) OVER (PARTITION BY x.variavel, y.variavel, y.valor) - 1) / 2.0::DOUBLE AS rb
+  FROM p_redes_longa x JOIN p_redes_longa y USING (unidade)
+  WHERE x.variavel <> y.variavel AND x.valor IS NOT NULL AND y.valor IS NOT NULL)
+GROUP BY a, b""")
+block("p_vizinhos", """
+SELECT a, b, rho, mesmo, row_number() OVER (PARTITION BY a, mesmo ORDER BY round(abs(rho), 9) DESC, b) AS ordem
+FROM (SELECT a, b, rho, x.hipotese = y.hipotese AS mesmo FROM p_par_a_par
+      JOIN p_hipotese x ON a = x.variavel JOIN p_hipotese y ON b = y.variavel WHERE rho IS NOT NULL)""")
+META = ", ".join(f"('{v}', '{HYPOTHESIS_OF[v]}', '{grain(v)}', '{references(DEMO)[v]}', '{FORMULAS.get(v, '')}', "
+                 f"'{'categórica' if v in CATEGORICAL else 'numérica'}')" for v in FEATURES)
 PREP = ["rede_taxa_ant", "mun_participacao_ant", "esc_horas_aula_diarias", "esc_inse_medio", "mun_ivs",
         "rede_vs_municipio"]
 SQL = {
@@ -351,6 +371,20 @@ SELECT count(*) AS variaveis, round(corr(rx, ry), 6) AS concordancia,
 FROM c_redes t LEFT JOIN (SELECT sigla_uf, {', '.join(f'median({c}) AS {c}' for c in PREP)} FROM c_redes
   WHERE particao = 'treino' GROUP BY sigla_uf) g ON t.sigla_uf = g.sigla_uf,
   (SELECT {', '.join(f'median({c}) AS {c}' for c in PREP)} FROM c_redes WHERE particao = 'treino') o""",
+    "data_dictionary": f"""
+SELECT m.variavel, m.hipotese, m.grao, m.referencia, m.formula, m.papel, round(preenchido_pct, 1) AS preenchimento,
+       distintos FROM (VALUES {META}) m(variavel, hipotese, grao, referencia, formula, papel) JOIN p_inventario USING (variavel)""",
+    "theme_evidence": f"""
+SELECT variavel, hipotese AS tema, {r('ausentes', 'ausentes_pct')}, {r('p25', 'p25')}, {r('p75', 'p75')},
+       {r('comum', 'mais_comum_pct')}, i.b AS maior_no_tema, {r('i.rho', 'rho_no_tema')}, o.b AS maior_fora,
+       {r('o.rho', 'rho_fora')}
+FROM (SELECT variavel, 100.0::DOUBLE * (1 - count(valor) / count(*)::DOUBLE) AS ausentes,
+             quantile_cont(valor, 0.25) AS p25, quantile_cont(valor, 0.75) AS p75 FROM p_redes_longa GROUP BY variavel) s
+JOIN (SELECT variavel, 100.0::DOUBLE * max(n) / sum(n) AS comum FROM
+        (SELECT variavel, valor, count(*) AS n FROM p_redes_longa WHERE valor IS NOT NULL GROUP BY 1, 2)
+      GROUP BY variavel) c USING (variavel) JOIN p_hipotese USING (variavel)
+LEFT JOIN (SELECT * FROM p_vizinhos WHERE mesmo AND ordem = 1) i ON variavel = i.a
+LEFT JOIN (SELECT * FROM p_vizinhos WHERE NOT mesmo AND ordem = 1) o ON variavel = o.a""",
     "missing_indicators": "SELECT id_municipio || '/' || rede_nome AS unidade, " + ", ".join(
         f"({v} IS NULL)::INTEGER AS {n}" for n, v in INDICATORS.items()) + " FROM c_redes",
     "one_hot": "SELECT id_municipio || '/' || rede_nome AS unidade, " + ", ".join(

@@ -104,12 +104,12 @@ SELECT '{f}' AS variavel, {f}::DOUBLE AS valor, nome_regiao IN ('AFRICA', 'AMERI
        nome_regiao IN ('ASIA', 'EUROPE') AND p_cumprir_pct > 75 AS alto FROM r_nota""" for f in FACTORS))
 
 
-def calib(label: str, table: str, where: str, y: str = "y", tie: str = "desempate", row_level: bool = False) -> str:
+def calib(label: str, table: str) -> str:
     return f"""
 SELECT '{label}' AS corte, faixa, sum(w)::DOUBLE AS peso, round(sum(w * p) / sum(w), 6) AS prevista,
        round(sum(w * y) / sum(w)::DOUBLE, 6) AS observada,
        round(100.0::DOUBLE * abs(sum(w * p) / sum(w) - sum(w * y) / sum(w)::DOUBLE), 6) AS distancia_pp
-FROM (SELECT *, {rows_bin(10, tie=tie)} AS faixa FROM ({table}) t) GROUP BY faixa"""
+FROM (SELECT *, {rows_bin(10)} AS faixa FROM ({table}) t) GROUP BY faixa"""
 
 
 PUPILS = "SELECT desempate, p, y, {w} AS w FROM r_tres WHERE particao = 'validacao' AND nota = 'modelo'"
@@ -121,9 +121,9 @@ SELECT nota, round(p, 6) AS limiar,
        round(sum(sum(1 - y)) OVER (PARTITION BY nota ORDER BY p DESC) / sum(sum(1 - y)) OVER (PARTITION BY nota), 6) AS fpr,
        round(sum(sum(y)) OVER (PARTITION BY nota ORDER BY p DESC) / sum(sum(y)) OVER (PARTITION BY nota), 6) AS tpr
 FROM r_tres WHERE particao = 'teste' AND nota <> 'AUC máxima possível' GROUP BY nota, p""",
-    "calibration_bins": calib("alunos, linhas iguais", PUPILS.format(w="count(*)") + " GROUP BY desempate, p, y", "")
-        + " UNION ALL " + calib("alunos, pesos iguais", PUPILS.format(w=1), "")
-        + " UNION ALL " + calib("redes", "SELECT unidade AS desempate, p_cumprir AS p, bateu_meta AS y, 1 AS w FROM r_teste", ""),
+    "calibration_bins": calib("alunos, linhas iguais", PUPILS.format(w="count(*)") + " GROUP BY desempate, p, y")
+        + " UNION ALL " + calib("alunos, pesos iguais", PUPILS.format(w=1))
+        + " UNION ALL " + calib("redes", "SELECT unidade AS desempate, p_cumprir AS p, bateu_meta AS y, 1 AS w FROM r_teste"),
     "confusion": """
 WITH x AS (SELECT 'modelo' AS nota, bateu_meta AS y, p_cumprir AS p FROM r_teste
            UNION ALL SELECT 'só o ciclo anterior', bateu_meta, coalesce(rede_taxa_ant / 100, 0.5) FROM r_teste)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash_text, value_bucket, with_totals
+from ..functions.exprs import hash_text, value_bucket
 
 BEFORE, TOTAL = "cum_before", "cum_total"
 
@@ -136,8 +136,7 @@ def equal_frequency_bins(df: DataFrame, value: str, tie: str, amount: str, n: in
     """Split rows over `n` equal-frequency bins; adds `faixa` (1..n) and `in_bin` units.
 
     A row that stands for several identical units and crosses an edge is shared out exactly, so
-    the result equals binning every unit on its own. Bins with fewer distinct values than `n`
-    are left out, as the quantile cut has no meaning there.
+    the result equals binning every unit on its own.
     """
     pos = tied_positions(df, value, tie, amount, partition)
     first, last = F.col(BEFORE), F.col(BEFORE) + F.col(amount) - 1
@@ -150,14 +149,14 @@ def equal_frequency_bins(df: DataFrame, value: str, tie: str, amount: str, n: in
     lower = F.when(F.col("faixa") == 1, F.lit(0)).otherwise(
         whole_div(span * (F.col("faixa") - 1), size) + 1)
     units = F.least(last, upper) - F.greatest(first, lower) + 1
-    out = d.withColumn("in_bin", units).where("in_bin > 0")
+    return d.withColumn("in_bin", units).where("in_bin > 0")
+
+
+def with_enough_values(df: DataFrame, value: str, n: int, partition: Sequence[str]) -> DataFrame:
+    """Only the partitions with at least `n` distinct values: fewer cannot fill `n` bins."""
     distinct = value_counts(df, value, partition).groupBy(*partition).agg(
-        F.count(F.lit(1)).alias("__values"))
-    if partition:
-        out = out.join(distinct, list(partition))
-    else:
-        out = out.transform(with_totals, distinct)
-    return out.where(F.col("__values") >= n).drop("__values")
+        F.count(F.lit(1)).alias("__values")).where(F.col("__values") >= n)
+    return df.join(distinct.drop("__values"), list(partition), "left_semi")
 
 
 def running_total(df: DataFrame, value: str, tie: str) -> DataFrame:

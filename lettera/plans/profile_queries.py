@@ -343,7 +343,7 @@ def evidence_by_hypothesis(ws):
 def gradient_by_hypothesis(ws):
     """Shapes per hypothesis, without inertia and controls."""
     hyp = variable_metadata(ws.spark, ws.cycle).select("variavel", "hipotese")
-    d = gradient_pattern(ws).join(hyp, "variavel").where(
+    d = patterns(ws).join(hyp, "variavel").where(
         ~(F.col("hipotese").startswith("H8") | F.col("hipotese").startswith("controle")))
     size = F.abs("amplitude_pp_q")
     shape = lambda s: F.count_if(F.col("padrao") == s)

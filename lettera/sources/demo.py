@@ -18,6 +18,11 @@ FLAG_TO_CODE = {"A": "2", "R": "3", "N": "4"}
 FLAG_TO_WORD = {"A": "estadual", "R": "municipal", "N": "privada"}
 
 
+def hundredths(c: str):
+    """A two-decimal amount as whole hundredths, so that sums do not depend on their order."""
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
 class DemoTables:
     """Views over one folder of test tables."""
 
@@ -78,7 +83,7 @@ class DemoTables:
         by_net = (self.lines(years).where(F.col("l_returnflag").isin("A", "R"))
                   .groupBy("l_suppkey", "ano", "l_returnflag")
                   .agg(F.sum(F.when(right, w)).alias("wy"), F.sum(F.when(present, w)).alias("w"),
-                       F.sum(F.when(present, F.col("l_extendedprice"))).alias("score"),
+                       F.sum(F.when(present, hundredths("l_extendedprice"))).alias("score"),
                        F.count_if(present).alias("presentes"),
                        F.count(F.lit(1)).alias("todos")))
         codes = F.explode(F.array(recode("l_returnflag", FLAG_TO_CODE), F.lit("5")))
@@ -94,7 +99,7 @@ class DemoTables:
             "ano", "id_municipio", "rede", recode("rede", names).alias("rede_nome"),
             "sigla_uf", "nome_regiao",
             (F.lit(100.0) * F.col("wy") / F.col("w")).alias("taxa_alfabetizacao"),
-            F.round(F.col("score") / F.col("presentes"), 2).alias("media_portugues"))
+            (F.col("score") / F.col("presentes") / 100).alias("media_portugues"))
 
     def indicador_municipio(self, years=None) -> DataFrame:
         d = self.with_place(self._cycle_sums(years).where("rede = '5'"), "s_acctbal")
@@ -197,9 +202,9 @@ class DemoTables:
     def avs(self, years=None) -> DataFrame:
         d = self.lines(years).where(F.col("l_suppkey") % 11 != 0) \
             .groupBy("ano", "l_suppkey", "l_linestatus").agg(
-                F.round(F.avg("l_tax") * 10, 3).alias("ivs"),
-                F.round(F.avg("l_discount") * 10, 3).alias("ivs_infraestrutura_urbana"),
-                F.round(F.avg("l_quantity") / 50, 3).alias("ivs_capital_humano"))
+                (F.avg(hundredths("l_tax")) / 10).alias("ivs"),
+                (F.avg(hundredths("l_discount")) / 10).alias("ivs_infraestrutura_urbana"),
+                (F.avg("l_quantity") / 50).alias("ivs_capital_humano"))
         return self.with_place(d)
 
     def sim(self) -> DataFrame:

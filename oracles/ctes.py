@@ -60,7 +60,7 @@ block("t_ciclo", f"""
 SELECT ano, id_municipio, sigla_uf, nome_regiao, s_acctbal, rede,
        sum(CASE WHEN l_discount > 0 AND l_extendedprice >= 50000 THEN l_quantity ELSE 0 END) AS wy,
        sum(CASE WHEN l_discount > 0 THEN l_quantity ELSE 0 END) AS w,
-       sum(CASE WHEN l_discount > 0 THEN l_extendedprice ELSE 0 END) AS score,
+       sum(CASE WHEN l_discount > 0 THEN round(l_extendedprice * 100)::BIGINT ELSE 0 END) AS score,
        count(*) FILTER (WHERE l_discount > 0) AS presentes, count(*) AS todos
 FROM (SELECT *, {CODE} AS rede FROM t_linha WHERE l_returnflag IN ('A', 'R')
       UNION ALL SELECT *, '5' AS rede FROM t_linha WHERE l_returnflag IN ('A', 'R')) x
@@ -69,7 +69,7 @@ block("t_municipio", """
 SELECT ano, id_municipio, rede,
        CASE rede WHEN '2' THEN 'Estadual' WHEN '3' THEN 'Municipal' ELSE 'Pública' END AS rede_nome,
        sigla_uf, nome_regiao, 100.0::DOUBLE * wy / w AS taxa_alfabetizacao,
-       round(score / presentes, 2) AS media_portugues
+       score / presentes / 100 AS media_portugues
 FROM t_ciclo""")
 block("t_indicador", """
 SELECT a.ano, a.id_municipio, a.taxa, a.percentual_participacao,
@@ -137,9 +137,9 @@ SELECT 1996 AS ano, id_municipio, {h('s_suppkey', 'idhm')} % 4000 / 10000.0::DOU
        {h('s_suppkey', 'desloc')} % 300 / 10.0::DOUBLE AS taxa_vulner_desloc_1_hora
 FROM t_lugar""")
 block("t_avs", """
-SELECT ano, id_municipio, round(avg(l_tax) * 10, 3) AS ivs,
-       round(avg(l_discount) * 10, 3) AS ivs_infraestrutura_urbana,
-       round(avg(l_quantity) / 50, 3) AS ivs_capital_humano
+SELECT ano, id_municipio, avg(round(l_tax * 100)::BIGINT) / 10 AS ivs,
+       avg(round(l_discount * 100)::BIGINT) / 10 AS ivs_infraestrutura_urbana,
+       avg(l_quantity) / 50 AS ivs_capital_humano
 FROM t_linha WHERE l_suppkey % 11 <> 0 GROUP BY ano, id_municipio, l_linestatus""")
 block("t_sim", f"""
 SELECT year(ts)::INTEGER - 25 AS ano, id_municipio,

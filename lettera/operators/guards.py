@@ -96,17 +96,32 @@ def target_correlation(df: DataFrame, columns: Sequence[str], target: str, weigh
 
 
 def split_integrity(df: DataFrame, key: str, part: str = "particao") -> DataFrame:
-    """Keys that appear in more than one part."""
-    return (df.groupBy(key).agg(F.min(part).alias("primeira"), F.max(part).alias("ultima"))
-            .where("primeira <> ultima"))
+    """Keys that appear in more than one part: two hash aggregations, the first map-side."""
+    return (df.groupBy(key, part).agg(F.count(F.lit(1)).alias("linhas"))
+            .groupBy(key).agg(F.count(part).alias("particoes")).where("particoes > 1"))
 
 
 def group_invariance(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Per column, the groups inside which it varies; a null counts as a value of its own."""
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
-    for c in columns:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"), F.count(c).alias(f"n_{c}")]
-    g = df.groupBy(*keys).agg(*aggs)
+    """Per column, the groups inside which it varies; a null counts as a value of its own.
+
+    Text columns group along in the first step, which keeps it a hash aggregation with partial
+    sums before the shuffle; the second step sees one row per group and text combination.
+    """
+    kinds = dict(df.dtypes)
+    texts = [c for c in columns if kinds[c] == "string"]
+    numbers = [c for c in columns if c not in texts]
+    first: list[Column] = [F.count(F.lit(1)).alias("__n")]
+    for c in numbers:
+        first += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"), F.count(c).alias(f"n_{c}")]
+    g = df.groupBy(*keys, *texts).agg(*first)
+    second: list[Column] = [F.sum("__n").alias("__n")]
+    for c in numbers:
+        second += [F.min(f"lo_{c}").alias(f"lo_{c}"), F.max(f"hi_{c}").alias(f"hi_{c}"),
+                   F.sum(f"n_{c}").alias(f"n_{c}")]
+    for c in texts:
+        second += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"),
+                   F.sum(F.when(F.col(c).isNotNull(), F.col("__n")).otherwise(0)).alias(f"n_{c}")]
+    g = g.groupBy(*keys).agg(*second)
     varies = [F.sum(F.when((F.col(f"lo_{c}") != F.col(f"hi_{c}"))
                            | ((F.col(f"n_{c}") > 0) & (F.col(f"n_{c}") < F.col("__n"))), 1)
                     .otherwise(0)).alias(c) for c in columns]

@@ -218,10 +218,10 @@ def variable_histogram(units: DataFrame, numeric: Sequence[str], bins: int = 40,
 
 # -- groups -----------------------------------------------------------------------------------
 def by_place(units: DataFrame) -> DataFrame:
-    """Municipalities: territory, pupils, rate, agreed target and previous rate. The last four
-    are the same in every network of a municipality, so their maximum is their value."""
-    return units.groupBy("id_municipio").agg(
-        F.max("sigla_uf").alias("sigla_uf"), F.max("nome_regiao").alias("nome_regiao"),
+    """Municipalities: territory, pupils, rate, agreed target and previous rate. The territory
+    follows from the municipality, so it groups along; the last two are the same in every
+    network of a municipality, so their maximum is their value."""
+    return units.groupBy("id_municipio", "sigla_uf", "nome_regiao").agg(
         F.sum("alunos").alias("alunos"), F.sum("alfabetizados").alias("alfabetizados"),
         (F.lit(100.0) * F.sum("alfabetizados") / F.sum("alunos")).alias("taxa"),
         F.max("mun_meta_ciclo").alias("meta"), F.max("mun_taxa_ant").alias("taxa_2023"))

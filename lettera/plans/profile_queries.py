@@ -163,12 +163,11 @@ def _network_pairs(ws):
     d = ws.redes.where(F.col("rede_nome").isin(*PUBLIC_NETWORKS)
                        & (F.col("alunos") >= ws.cycle.min_stable)) \
         .withColumn("taxa", pct("alfabetizados", "alunos"))
-    wide = d.groupBy("id_municipio").pivot("rede_nome", list(PUBLIC_NETWORKS)).agg(
-        F.max("taxa").alias("taxa"), F.max("sigla_uf").alias("sigla_uf"),
-        *[F.max(c).alias(c) for c in INFRA])
+    wide = d.groupBy("id_municipio", "sigla_uf").pivot("rede_nome", list(PUBLIC_NETWORKS)).agg(
+        F.max("taxa").alias("taxa"), *[F.max(c).alias(c) for c in INFRA])
     wide = wide.where("Estadual_taxa is not null and Municipal_taxa is not null")
     diffs = {f"d_{c}": F.col(f"Estadual_{c}") - F.col(f"Municipal_{c}") for c in ["taxa", *INFRA]}
-    return wide.select("id_municipio", F.col("Estadual_sigla_uf").alias("sigla_uf"),
+    return wide.select("id_municipio", "sigla_uf",
                        *[e.alias(n) for n, e in diffs.items()])
 
 

@@ -81,15 +81,23 @@ class Workspace:
     def unit_context(self) -> DataFrame:
         """All features, one row per municipality and network of the cycle.
 
-        The sources are small next to the pupils, but they grow with the number of
-        municipalities; none is broadcast by hand, Spark does so where the size allows.
+        Sources of the same grain are joined with each other first: most come out of an
+        aggregation by that very key, so their joins need no further shuffle, and only one join
+        crosses from the municipality to the network. The sources are small next to the pupils
+        but grow with the number of municipalities; none is broadcast by hand, Spark does so
+        where the size allows.
         """
-        by_net = self.enrollment[0]
-        out = by_net
+        by_net, by_mun = self.enrollment
+        net, mun = by_net, by_mun
         for label, df, keys in self.sources():
-            if label != "porte da rede":
-                out = out.join(df, keys, "left")
-        return ctx.derived_columns(out).join(self.split(), "id_municipio", "left")
+            if label.startswith("porte"):
+                continue
+            if keys == UNIT:
+                net = net.join(df, keys, "left")
+            else:
+                mun = mun.join(df, keys, "left")
+        mun = mun.join(self.split(), "id_municipio", "left")
+        return ctx.derived_columns(net.join(mun, "id_municipio"))
 
     def split(self) -> DataFrame:
         pupils = self.alunos_now.where("presente")

@@ -165,7 +165,7 @@ def draw(space: dict, n: int, seed: int) -> list[dict]:
     return grid if len(grid) <= n else random.Random(seed).sample(grid, n)
 
 
-def search(folds_of: dict[bool, Folds], spaces: dict, seed: int, parallelism: int = 4) -> DataFrame:
+def search(folds_of: dict[bool, Folds], spaces: dict = SPACES, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """Random search over the families: one row per combination with fold means and deviations.
     All fits are independent; all of their scores are measured in one job."""
     jobs = [(family, params) for family, (space, n) in spaces.items() for params in draw(space, n, seed)]

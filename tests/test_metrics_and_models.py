@@ -128,15 +128,13 @@ def test_draw_is_seeded_and_without_replacement():
 
 def test_permutation_of_an_unused_column_costs_nothing(spark, tmp_path):
     units = data(spark)
-    fitted = mod.fit(units, Design(["x"], []), mod.LOGISTIC, {"C": 1.0}, 1, str(tmp_path / "m"))
-    # z is carried as a column of the table but not of the model
-    fitted.preparation.design.numeric.append("z")
-    keep = fitted.preparation.imputer
-    fitted.preparation.design.numeric.remove("z")
-    assert keep is fitted.preparation.imputer
-    blocks = {"só x": ["x"], "x em bloco": ["x"]}
+    # z does not vary where the model is fitted, so the model cannot use it
+    train = units.withColumn("z", F.lit(5.0))
+    fitted = mod.fit(train, Design(["x", "z"], []), mod.LOGISTIC, {"C": 1.0}, 1, str(tmp_path / "m"))
+    blocks = {"x": ["x"], "x em bloco": ["x"], "z": ["z"]}
     r = {row.bloco: row for row in mod.permutation(fitted, units, blocks, 3, 7).collect()}
-    assert r["só x"].queda_auc == pytest.approx(r["x em bloco"].queda_auc) and r["só x"].queda_auc > .05
+    assert r["x"].queda_auc == pytest.approx(r["x em bloco"].queda_auc) and r["x"].queda_auc > .05
+    assert r["z"].queda_auc == pytest.approx(0) and r["z"].piora_log_loss == pytest.approx(0)
 
 
 def test_shuffle_is_a_permutation_of_whole_blocks(spark):

@@ -78,10 +78,17 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
                           .cast("int") for v in levels})
 
 
+MAX_LEVELS = 1000
+
+
 def levels_of(train: DataFrame, column: str) -> list[str]:
-    """Sorted levels of a categorical column; short by nature (networks, states, regions)."""
-    return [r[0] for r in train.where(F.col(column).isNotNull()).select(column).distinct()
-            .orderBy(column).collect()]
+    """Sorted levels of a categorical column. They become model columns, so a column with more
+    than `MAX_LEVELS` of them (a key, not a category) is refused, not truncated."""
+    levels = train.where(F.col(column).isNotNull()).select(column).distinct()
+    found = sorted(r[0] for r in levels.limit(MAX_LEVELS + 1).collect())
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{column} has more than {MAX_LEVELS} levels and cannot be one-hot encoded")
+    return found
 
 
 def scaling_of(train: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -121,7 +121,9 @@ def enrollment_size(ws):
 
 
 def network_table(ws):
-    return ws.redes.select("particao", *UNIT, "alunos", "alfabetizados", "peso_total",
+    """Scan, sum per network, seeded split by municipality: no context is needed for it."""
+    public = ws.pupil_sums().where(F.col("rede_nome") != PRIVATE)
+    return public.join(ws.split(), "id_municipio").select("particao", *UNIT, "alunos", "alfabetizados", "peso_total",
                            "peso_alfabetizados", "taxa_real", "bateu_meta")
 
 

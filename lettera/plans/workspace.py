@@ -118,18 +118,21 @@ class Workspace:
     def context(self) -> DataFrame:
         return self.stored("contexto", self.unit_context, ["particao"])
 
-    def _unit_plan(self) -> DataFrame:
+    def pupil_sums(self) -> DataFrame:
+        """Pupils present, summed per network: counts, weights, weighted rate, target met."""
         y = is_label_one("alfabetizado")
-        pupils = (self.alunos_now.where("presente").groupBy(*UNIT).agg(
+        sums = (self.alunos_now.where("presente").groupBy(*UNIT).agg(
                       F.count(F.lit(1)).alias("alunos"), F.sum(y).alias("alfabetizados"),
                       F.sum("peso_aluno").alias("peso_total"),
                       F.sum(F.col("peso_aluno") * y).alias("peso_alfabetizados")))
         rate = F.lit(100.0) * F.col("peso_alfabetizados") / F.col("peso_total")
-        return (pupils.join(self.context, UNIT, "left")
-                .withColumn("taxa_real", rate)
+        return (sums.withColumn("taxa_real", rate)
                 .withColumn("bateu_meta", (F.col("taxa_real") >= self.cycle.unit_target).cast("int"))
                 .withColumn("unidade", F.concat_ws("/", "id_municipio", "rede_nome")))
 
+    def _unit_plan(self) -> DataFrame:
+        return self.pupil_sums().join(self.context, UNIT, "left")
+
     def stored(self, name: str, build, required=()) -> DataFrame:
         """A result several reports share, written once per application."""
         key = self.sf_dir.strip("/").replace("/", "_")

@@ -87,6 +87,11 @@ def value_bucket(c) -> Column:
     return F.when(c > 0, size).when(c < 0, -size).otherwise(F.lit(0)).cast("bigint")
 
 
+def clean_key(c) -> Column:
+    """A code kept as text; one that passed through a floating column loses its `.0`."""
+    return F.regexp_replace(col(c).cast("string"), r"\.0$", "")
+
+
 def is_label_one(c) -> Column:
     """1 when the textual label is '1', else 0; a missing label counts as 0."""
     return F.coalesce((col(c).cast("string") == "1"), F.lit(False)).cast("int")

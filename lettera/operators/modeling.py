@@ -10,6 +10,7 @@ import itertools
 import json
 import math
 import random
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -72,6 +73,11 @@ def mean_one(df: DataFrame, weight: str, by: Sequence[str] = ()) -> DataFrame:
     return d.withColumn("w", F.col(weight) / F.col("__mean")).drop("__mean")
 
 
+def own(path: str) -> str:
+    """A fresh folder below `path`: a table that an earlier fit still reads is never replaced."""
+    return f"{path}/{uuid.uuid4().hex[:12]}"
+
+
 class Fitted:
     """Preparation and model together."""
 
@@ -88,7 +94,7 @@ class Fitted:
 def fit(df: DataFrame, design: Design, family: str, params: dict, seed: int, path: str,
         y: str = "bateu_meta", weight: str | None = None) -> Fitted:
     """Prepare, store the prepared rows, fit on them."""
-    spark = df.sparkSession
+    spark, path = df.sparkSession, own(path)
     prep = Preparation(design, LINEAR[family]).fit(df).settled(spark, f"{path}/preparo")
     d = mean_one(df, weight) if weight else df.withColumn("w", F.lit(1.0))
     rows = prep.transform(d.withColumn("y", F.col(y).cast("double"))).select("features", "y", "w")
@@ -109,7 +115,7 @@ class Folds:
     def __init__(self, df: DataFrame, design: Design, linear: bool, path: str, seed: int,
                  folds: int = 5, key: str = "id_municipio", y: str = "bateu_meta",
                  weight: str | None = None, row: str = "unidade"):
-        spark = df.sparkSession
+        spark, path = df.sparkSession, own(path)
         self.n, self.seed = folds, seed
         d = df.join(group_folds(df, key, seed, folds), key) \
             .withColumn("parte", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))) \
@@ -249,7 +255,7 @@ def partial_dependence(fitted: Fitted, rows: DataFrame, variables: Sequence[str]
 
     The grid holds at most 21 points per variable and group; it is stored, then broadcast.
     """
-    spark = rows.sparkSession
+    spark, path = rows.sparkSession, own(path)
     dependence_grid(rows, variables).write.mode("overwrite").parquet(path)
     grid = spark.read.parquet(path)
     d = rows.join(F.broadcast(grid), "grupo")

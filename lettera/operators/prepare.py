@@ -109,6 +109,17 @@ def standardize(df: DataFrame, scaling: DataFrame, columns: Sequence[str],
             .drop(*[f"{k}_{c}" for c in columns for k in ("mean", "sd")])
 
 
+def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Standard scores with the sample deviation, for comparing shapes; 0 without spread."""
+    stats = df.agg(*[e for c in columns for e in (F.avg(c).alias(f"mean_{c}"),
+                                                  F.stddev_samp(c).alias(f"sd_{c}"))])
+    d = df.transform(with_totals, stats)
+    score = lambda c: F.when(F.col(f"sd_{c}") > 0, (F.col(c) - F.col(f"mean_{c}")) / F.col(f"sd_{c}")) \
+        .otherwise(F.col(c) * 0)
+    return d.withColumns({c: score(c) for c in columns}) \
+            .drop(*[f"{k}_{c}" for c in columns for k in ("mean", "sd")])
+
+
 def log1p(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.log1p(F.col(c)) for c in columns})
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BANDS
-from ..functions.exprs import band, histogram_bin, pct, ratio, with_totals
+from ..functions.exprs import band, clean_key, histogram_bin, pct, ratio, with_totals
 from .ordering import BEFORE, TOTAL, quantiles, running_total
 from .prepare import to_long
 
@@ -111,7 +111,7 @@ def region_profile(redes: DataFrame) -> DataFrame:
 
 def by_municipality(redes: DataFrame) -> DataFrame:
     """Municipal probability: mean of its networks, weighted by pupils."""
-    return redes.groupBy("id_municipio").agg(
+    return redes.groupBy(clean_key("id_municipio").alias("id_municipio")).agg(
         (F.sum(F.col(P) * F.col("alunos")) / F.sum("alunos")).alias(P),
         F.sum("alunos").alias("alunos"), F.count(F.lit(1)).alias("redes"))
 

@@ -32,6 +32,8 @@ class Settings:
     repeats: int = 10
     sample: int = 2000
     parallelism: int = 4
+    reuse_search: bool = False        # read the stored search results where there are any
+    reuse_curation: bool = False      # read the stored variable selection where there is one
     instrument: dict = field(default_factory=lambda: modeling.INSTRUMENT)
     logged: tuple = ("mun_populacao", "mun_densidade_demografica")
 
@@ -79,9 +81,9 @@ def _scores(fitted: dict[str, Fitted], rows: DataFrame, y: str, w) -> DataFrame:
 
 def _search(ws, s: Settings, folds: dict, out: str) -> tuple[DataFrame, str]:
     """Search results as CSV with JSON parameters, the best of each family, the chosen one."""
-    found = modeling.search(folds, s.spaces, ws.cycle.seed, s.parallelism)
-    found.write.mode("overwrite").parquet(f"{out}/busca")
-    found = ws.spark.read.parquet(f"{out}/busca")
+    found, origin = lake.materialize_if_stale(
+        ws.spark, f"{out}/busca", lambda: modeling.search(folds, s.spaces, ws.cycle.seed, s.parallelism),
+        ["familia", "parametros", "log_loss", "log_loss_desvio"], refresh=not s.reuse_search)
     found.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out}/busca_csv")
     best = metrics.best_per_family(found)
     return best, metrics.choose_family(best, LOGISTIC).first().escolhida
@@ -126,6 +128,31 @@ def model_pupils(ws: Workspace, out: str, s: Settings = Settings(), design: Desi
     return chosen
 
 
+CURATION_SCHEMA = f"{curation.LOG_SCHEMA}, sobrevivencia double"
+
+
+def curate(ws: Workspace, out: str, s: Settings, design: Design, numeric: list[str]) -> list[str]:
+    """Selected variables, from the stored log when asked for, else by both stages."""
+    path, train = f"{out}/reports/curadoria_variaveis", part(ws, TRAIN)
+    if s.reuse_curation and lake.path_exists(ws.spark, f"{path}/_SUCCESS"):
+        log = ws.spark.read.schema(CURATION_SCHEMA).option("header", True).csv(path)
+        rows = log.where("etapa = 'B' and situacao = 'fica'").orderBy("sobrevivencia").collect()
+        unknown = [r.variavel for r in rows if r.variavel not in design.variables]
+        if unknown:
+            raise lake.StopRun(f"the stored curation names unknown variables: {unknown}")
+        return [r.variavel for r in rows]
+    kept, log = curation.stage_a(train, numeric, "unidade", ws.cycle)
+    selected, rows = modeling.stability_selection(
+        train, design, [*kept, "rede_nome"], f"{out}/estabilidade", ws.cycle.seed, s.rounds,
+        s.minimum_rounds, s.folds, s.shuffles, s.instrument)
+    a = ws.spark.createDataFrame(log, curation.LOG_SCHEMA).where("situacao = 'sai'")
+    b = ws.spark.createDataFrame(rows, modeling.STABILITY_SCHEMA)
+    both = a.unionByName(b, allowMissingColumns=True).select(
+        *[f.split()[0] for f in CURATION_SCHEMA.split(", ")])
+    lake.write_report(both, path, 3)
+    return selected
+
+
 def model_networks(ws: Workspace, out: str, s: Settings = Settings(),
                    candidates: list[str] | None = None) -> tuple[Fitted, list[str]]:
     """Network grain: curation in two stages, search, final model, test table."""
@@ -134,13 +161,7 @@ def model_networks(ws: Workspace, out: str, s: Settings = Settings(),
     design = full_design(s)
     guards.enforce(guards.group_invariance(ws.units, ["particao", *UNIT], [*NUMERIC, *TERRITORY])
                    .where("grupos_que_variam > 0"), "variable that varies inside a network")
-    kept, log = curation.stage_a(train, numeric, "unidade", ws.cycle)
-    selected, rows = modeling.stability_selection(
-        train, design, [*kept, "rede_nome"], f"{out}/estabilidade", seed, s.rounds, s.minimum_rounds, s.folds,
-        s.shuffles, s.instrument)
-    a = ws.spark.createDataFrame(log, curation.LOG_SCHEMA).where("situacao = 'sai'")
-    b = ws.spark.createDataFrame(rows, modeling.STABILITY_SCHEMA)
-    lake.write_report(a.unionByName(b, allowMissingColumns=True), f"{out}/reports/curadoria_variaveis", 3)
+    selected = curate(ws, out, s, design, numeric)
     chosen_design = design.only([*selected, *TERRITORY])
     folds = {x: Folds(train, chosen_design, x, f"{out}/partes_{x}", seed, s.folds)
              for x in sorted({LINEAR[f] for f in s.spaces})}

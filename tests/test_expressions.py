@@ -55,6 +55,11 @@ def test_value_bucket_never_decreases(spark):
     assert len({r.b for r in rows}) > 1000
 
 
+def test_key_that_passed_through_a_float(spark):
+    got = [r[0] for r in column(spark, ["1100015.0", "1100015", "110.0150"], "string").select(X.clean_key("v")).collect()]
+    assert got == ["1100015", "1100015", "110.0150"]
+
+
 def test_unknown_code_becomes_missing(spark):
     got = [r[0] for r in column(spark, ["2", "3", "9", None], "string")
            .select(X.recode("v", {"2": "Estadual", "3": "Municipal"})).collect()]

@@ -1,4 +1,6 @@
 """The four runs end to end on small data and small searches."""
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,11 +27,15 @@ def test_runs_follow_each_other(spark, ws, tmp_path_factory):
     assert base.count() == ws.units.agg(F.sum("alunos")).first()[0]
 
     final, selected = pipeline.model_networks(ws, f"{out}/rede", SMALL,
-                                              ["rede_taxa_ant", "mun_indice_pre_escola", "mun_ivs"])
+                                              ["rede_taxa_ant", "mun_indice_pre_escola"])
     register = lake.read_register(spark, f"{out}/rede/registro").first()
-    assert set(selected) <= {"rede_taxa_ant", "mun_indice_pre_escola", "mun_ivs", "rede_nome"}
+    assert set(selected) <= {"rede_taxa_ant", "mun_indice_pre_escola", "rede_nome"}
     assert register.variaveis == final.variables and 0 <= register.metricas["auc"] <= 1
 
+    again = replace(SMALL, reuse_search=True, reuse_curation=True)
+    _, kept = pipeline.model_networks(ws, f"{out}/rede", again, ["rede_taxa_ant"])
+    assert kept == selected                                   # read back, not searched again
+
     answers = pipeline.answer_questions(ws, f"{out}/respostas", final, None, SMALL)
     risk = answers["redes_risco"].toPandas().sort_values("ganho_acumulado")
     assert (risk.ganho_pp.diff().dropna() <= 1e-9).all()

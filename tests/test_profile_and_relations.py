@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from lettera.constants import DEMO
 from lettera.operators import curation, profile, relations
 from lettera.operators.moments import correlation_pairs, matrix_of, vif_from_correlation
-from lettera.operators.prepare import (Design, GroupMedianImputer, Preparation, missing_indicators, one_hot,
-                                       scaling_of, standardize)
+from lettera.operators.prepare import (Design, GroupMedianImputer, Preparation, levels_of, missing_indicators,
+                                       one_hot, scaling_of, standardize, zscore)
 
 
 def frame(n=120, seed=5):
@@ -169,6 +169,19 @@ def test_preparation_steps(spark):
     assert sorted(r.x for r in s.collect()) == [-1.0, 1.0]
 
 
+def test_zscore_is_zero_without_spread(spark):
+    d = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
+    got = zscore(d, ["a", "b"]).collect()
+    assert sorted(round(r.a, 6) for r in got) == [-0.707107, 0.707107] and {r.b for r in got} == {0.0}
+
+
+def test_a_key_is_no_category(spark):
+    d = spark.range(1001).select(F.col("id").cast("string").alias("k"))
+    with pytest.raises(ValueError):
+        levels_of(d, "k")
+    assert len(levels_of(d.limit(1000), "k")) == 1000
+
+
 def test_linear_and_tree_preparation_give_the_same_columns_without_gaps(spark, tmp_path):
     d = spark.createDataFrame([("u1", "A", 1.0, None), ("u2", "B", None, 2.0), ("u3", "B", 3.0, 4.0)],
                               "unidade string, sigla_uf string, x double, z double")

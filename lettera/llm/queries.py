@@ -4,11 +4,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixture, pseudonyms, quality, secrets
+import public_tokenizers
+
+from . import byte_bpe, forest, jaccard, language, licenses, lm, mixture, pseudonyms, quality, secrets
 from .common import documents
 
 #: The key of the registered pseudonym query and of the pipeline; a real run brings its own.
 DEMO_KEY = "demonstration key"
+#: The rank file of the registered queries; its place is a parameter of `byte_bpe.read_ranks`.
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,12 +50,43 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(d).select("doc_id", "path", "license", "license_score", "license_origin", "license_from")
 
 
+def op2_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return forest.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = language.identify(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    return d.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+                    F.col("lang_rejected").alias("rejected"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(RANKS))
+    d = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                    F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_hash_forest": op2_hash_forest,
     "op3_secret_scan": op3_secret_scan,
     "op4_source_mixture": op4_source_mixture,
     "op5_pseudonyms": op5_pseudonyms,
+    "op6_language": op6_language,
     "op7_license_scan": op7_license_scan,
+    "op8_jaccard_join": op8_jaccard_join,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_lm_score": op10_lm_score,
 }
 
 

@@ -1,6 +1,7 @@
 """Shared helpers: word pattern, stored tables, blocks of rows with a position in a global order."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,6 +38,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 4_000_000) -> None:
+    """Arrow batches of this session hold so many rows and bytes at most: rows carry whole texts."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key, None)
+        if now is not None and not 0 < int(re.sub(r"\D", "", now) or 0) <= most:
+            spark.conf.set(key, str(most))
+
+
 def let(value, body):
     """`body(value)` with `value` worked out once per row, however often the body names it."""
     return F.transform(F.array(value), body)[0]

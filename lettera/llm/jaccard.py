@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, stored
+from .common import NO_ID, bounded_batches, stored
 from .components import components
 from .hashing import joined, mixed, word_hashes
 
@@ -197,6 +197,7 @@ def near_classes(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") ->
     `links` counts the other rows that reach the threshold, copies included; `texts` the other sets.
     `class_id` is the smallest id among all rows joined by links.
     """
+    bounded_batches(docs.sparkSession)
     prints = stored(fingerprints(docs, s, text), "prints")
     nodes = stored(prints.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min("id").alias("least"), F.count("*").alias("copies"), F.min_by("bands", "id").alias("bands")), "nodes")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import bounded_batches, stored
 
 UNKNOWN = "und"
 _STEPS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -120,6 +120,7 @@ def _clusters(v: np.ndarray, s: Settings) -> np.ndarray:
 def fit(docs: DataFrame, s: Settings = DEFAULT) -> Model:
     """Learns from text and lang of the training documents alone. What comes to the driver is the model:
     one vector of inverse frequencies, `clusters` vectors per language and one floor per length class."""
+    bounded_batches(docs.sparkSession)
     rows = stored(training_rows(docs, s), "sample")
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -137,12 +138,17 @@ def fit(docs: DataFrame, s: Settings = DEFAULT) -> Model:
     idf = (np.log((1 + df[0]) / (1 + df[1:])) + 1).astype(np.float32)
 
     def clustered(part: pd.DataFrame) -> pd.DataFrame:
-        found = [counts(t, s) for t in part["text"]]
-        v = np.array([_unit(f, idf) for f, n in found if n], np.float32).reshape(-1, s.buckets)
-        if not len(v):
+        v, size = np.empty((len(part), s.buckets), np.float32), []
+        for t in part["text"]:
+            found, letters = counts(t, s)
+            if letters:
+                v[len(size)] = _unit(found, idf)
+                size.append(_length_class(letters))
+        if not size:
             return pd.DataFrame(columns=["lang", "vector", "floors"])
+        v, size = v[:len(size)], np.array(size)
         c = _clusters(v, s)
-        best, size = (v @ c.T).max(axis=1), np.array([_length_class(n) for _, n in found if n])
+        best = (v @ c.T).max(axis=1)
         floors = [float(best[size == k].min()) if (size == k).any() else 2.0 for k in range(32)]
         return pd.DataFrame({"lang": part["lang"].iloc[0], "vector": list(c.astype(np.float32)), "floors": [floors] * len(c)})
 
@@ -161,6 +167,7 @@ def predict(docs: DataFrame, model: Model, s: Settings = DEFAULT, text: str = "t
     if nothing was learned. Equal cosines go to the first language by name. Only the text is read, so
     repeated rows get equal results. Columns of `docs` with these names are replaced.
     """
+    bounded_batches(docs.sparkSession)
     languages, shared = model.languages, docs.sparkSession.sparkContext.broadcast((model.centroids, model.idf, model.floors))
 
     @F.pandas_udf("lang string, score double, rejected boolean")

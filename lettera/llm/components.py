@@ -12,7 +12,7 @@ def _large(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     return (both.join(least, "u").filter(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("a"), F.least("u", "m").alias("b")).distinct())
+            .select(F.col("v").alias("a"), F.least("u", "m").alias("b")))
 
 
 def _small(edges: DataFrame) -> DataFrame:

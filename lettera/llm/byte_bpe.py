@@ -1,14 +1,15 @@
-"""Byte-level BPE: ranked merges folded over the distinct words of a corpus.
+"""Byte-level BPE: ranked merges folded over the distinct words of a batch.
 
-Texts are split by the tokenizer's pattern, block by block. Every distinct word is then encoded once:
-its bytes are a list, and a fold joins the pair of lowest rank until no pair has one. The fold exists as
-higher-order functions with a literal rank map, and on Arrow batches, which is the default for its speed. The tokens go back to the blocks that asked, which put the texts together. Decoding looks
-up the bytes of each token in a literal and concatenates them.
+Texts are split by the tokenizer's pattern. The bytes of a word are a list, and a fold joins the pair of
+lowest rank until no pair has one. The fold exists twice: as higher-order functions with a literal rank
+map (`merged`), and on byte strings inside a task (`fold`), which encodes documents. Decoding looks up the
+bytes of each token in a literal and concatenates them.
 """
 from __future__ import annotations
 
 import base64
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
@@ -18,8 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import in_blocks, squeeze, unsqueeze
-from .common import let, stored
+from .common import NO_ID, bounded_batches, let
 
 #: Buckets of the literal rank map; an entry's bucket is its hash.
 BUCKETS = 1 << 16
@@ -87,7 +87,7 @@ def merged(piece: Column, ranks: dict[bytes, int], literal: Column) -> Column:
 
 
 def fold(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same as `merged`, on one byte string inside a task."""
+    """The tokens of a word: its own one, else those of the same merges as in `merged`."""
     own = ranks.get(piece)
     if own is not None:
         return [own]
@@ -103,79 +103,52 @@ def fold(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[x] for x in parts]
 
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int], native: bool = False) -> DataFrame:
-    """`words` (word, not empty) with `ids`, its tokens: the word's own token if it has one, else the merges.
-
-    `native` folds with higher-order functions and the literal rank map; otherwise the same fold runs on Arrow
-    batches, many times faster, with the rank map sent to the tasks (as long as the vocabulary, whatever the data).
-    """
-    if not native:
-        shared = words.sparkSession.sparkContext.broadcast(ranks)
-
-        @F.pandas_udf("array<int>")
-        def folded(batch: pd.Series) -> pd.Series:
-            known = shared.value
-            return batch.map(lambda w: np.array(fold(w.encode(), known), np.int32))
-
-        return words.withColumn("ids", folded("word"))
+def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """`words` (word, not empty) with `ids`, folded by higher-order functions with the literal rank map."""
     literal = rank_literal(ranks)
     d = words.withColumn("_hex", F.hex(F.encode("word", "UTF-8"))).withColumn("_own", rank_of(F.col("_hex"), literal))
     return d.select(*words.columns, F.when(F.col("_own").isNotNull(), F.array("_own")).otherwise(
         merged(F.col("_hex"), ranks, literal)).alias("ids"))
 
 
-def _packer(pattern: str):
-    def pack(ids: list, texts: list) -> dict:
-        split = regex.compile(pattern).findall
-        place: defaultdict[str, int] = defaultdict(count().__next__)
-        ends, found = [], []
-        for t in texts:
-            words = split(t)
-            found.append(np.fromiter(map(place.__getitem__, words), np.uint32, len(words)))
-            ends.append(len(words))
-        flat = np.concatenate(found) if found else np.empty(0, np.uint32)
-        # frequent words get small numbers, which pack better
-        by_count = np.argsort(-np.bincount(flat, minlength=len(place)), kind="stable")
-        number = np.empty(len(place), np.uint32)
-        number[by_count] = np.arange(len(place), dtype=np.uint32)
-        words = list(place)
-        return {"ids": ids, "lens": ends, "packed": squeeze(number[flat]), "words": [words[i] for i in by_count]}
-    return pack
-
-
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", native: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 500_000) -> DataFrame:
     """(doc_id, ids): the tokens of each row's whole text, as array<int>.
 
-    `pattern` cuts a text into words, each encoded apart, without special tokens. Null and empty texts
-    have no tokens; null doc_ids stay; repeated rows get equal tokens; other columns of `docs` are not
-    looked at. An empty table gives an empty one.
+    `pattern` cuts a text into words, each encoded apart, without special tokens. A batch folds each of its
+    distinct words once; a task remembers words it has folded and starts afresh beyond `most_words`. Nothing is
+    shuffled, and the rank map is as long as the vocabulary. Null and empty texts have no tokens; null doc_ids
+    stay; repeated rows get equal tokens; other columns of `docs` are not looked at. An empty table gives an
+    empty one.
     """
-    blocks = stored(in_blocks(docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("text")), _packer(pattern),
-                              "ids array<long>, lens array<int>, packed binary, words array<string>"), "blocks")
-    asked = blocks.select("block", F.posexplode("words").alias("place", "word")).repartition("word")
-    encoded = encode_words(asked.select("word").distinct(), ranks, native)
-    answers = asked.join(encoded, "word").select(F.col("block").alias("asked_by"), "place", F.col("ids").alias("tokens"))
-
-    def together(key: tuple, block: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        sizes, flat = np.zeros(len(words), np.int64), np.empty(0, np.int32)
-        if len(words):
-            words = words.sort_values("place", kind="stable")
-            sizes = words["tokens"].map(len).to_numpy(np.int64)
-            flat = np.concatenate(words["tokens"].to_numpy()).astype(np.int32)
-        starts = np.cumsum(sizes) - sizes
-        for ids, lens, packed in zip(block["ids"], block["lens"], block["packed"]):
-            numbers, at = unsqueeze(packed).astype(np.int64), 0
-            for i, n in zip(ids, lens):
-                own = numbers[at:at + n]
-                at += n
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, known, ranked = regex.compile(pattern).findall, {}, shared.value
+        for batch in batches:
+            if len(known) > most_words:
+                known.clear()
+            place: defaultdict[str, int] = defaultdict(count().__next__)
+            numbers = []
+            for t in batch["text"]:
+                words = split(t or "")
+                numbers.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+            for w in place:
+                if w not in known:
+                    known[w] = np.array(fold(w.encode(), ranked), np.int32).tobytes()
+            pieces = [known[w] for w in place]
+            sizes = np.array([len(x) // 4 for x in pieces], np.int64)
+            flat, starts = np.frombuffer(b"".join(pieces), np.int32), np.cumsum(sizes) - sizes
+            ids = []
+            for own in numbers:
                 size = sizes[own]
-                steps = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                out.append((None if pd.isna(i) else int(i), flat[np.repeat(starts[own], size) + steps]))
-        return pd.DataFrame({"doc_id": pd.array([x for x, _ in out], "Int64"), "ids": [x for _, x in out]})
+                within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                ids.append(flat[np.repeat(starts[own], size) + within])
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids})
 
-    return (blocks.select("block", "ids", "lens", "packed").groupBy("block").cogroup(answers.groupBy("asked_by"))
-            .applyInPandas(together, "doc_id long, ids array<int>"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text"))
+    d = rows.mapInPandas(work, "doc_id long, ids array<int>")
+    return d.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "ids")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:

@@ -111,7 +111,7 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         merged(F.col("_hex"), ranks, literal)).alias("ids"))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 500_000) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 100_000) -> DataFrame:
     """(doc_id, ids): the tokens of each row's whole text, as array<int>.
 
     `pattern` cuts a text into words, each encoded apart, without special tokens. A batch folds each of its

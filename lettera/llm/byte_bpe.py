@@ -120,7 +120,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     stay; repeated rows get equal tokens; other columns of `docs` are not looked at. An empty table gives an
     empty one.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 128, 1_000_000)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,7 +132,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
             numbers = []
             for t in batch["text"]:
                 words = split(t or "")
-                numbers.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+                numbers.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)))
             for w in place:
                 if w not in known:
                     known[w] = np.array(fold(w.encode(), ranked), np.int32).tobytes()

@@ -51,9 +51,12 @@ def cumulate(df: DataFrame, amount: str, bucket: Sequence[Column], order: Sequen
 
 def value_counts(df: DataFrame, value: str, partition: Sequence[str] = (),
                  weight: str | None = None) -> DataFrame:
-    """Distinct non-null values with their (weighted) row count `n`, per partition."""
+    """Distinct values, neither null nor NaN, with their (weighted) row count `n`, per partition."""
     w = F.sum(weight) if weight else F.count(F.lit(1))
-    return df.where(F.col(value).isNotNull()).groupBy(*partition, value).agg(w.alias("n"))
+    there = F.col(value).isNotNull()
+    if dict(df.dtypes)[value] in ("double", "float"):
+        there = there & ~F.isnan(value)
+    return df.where(there).groupBy(*partition, value).agg(w.alias("n"))
 
 
 def cumulated_counts(df: DataFrame, value: str, partition: Sequence[str] = (),

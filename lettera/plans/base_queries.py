@@ -39,7 +39,7 @@ def filtered_scan(ws: Workspace) -> DataFrame:
 
 
 def latest_snapshot(ws: Workspace) -> DataFrame:
-    root = lake.run_folder(ws.spark, "bronze", "diretorio", ws.sf_dir.replace("/", "_"))
+    root = lake.run_folder(ws.spark, "bronze", "diretorio", ws.key)
     names = ws.tables.diretorio_municipio()
     lake.write_snapshot(names.where("id_municipio is null"), root, "2024-01-31")
     lake.write_snapshot(names, root, "2024-02-29")
@@ -49,7 +49,7 @@ def latest_snapshot(ws: Workspace) -> DataFrame:
 
 def materialize(ws: Workspace) -> DataFrame:
     """Three calls: first builds, second reuses, third lacks a required column and rebuilds."""
-    path = lake.run_folder(ws.spark, "externas", "economia", ws.sf_dir.replace("/", "_"))
+    path = lake.run_folder(ws.spark, "externas", "economia", ws.key)
     narrow = lambda: ws.economy.drop("mun_populacao")
     steps = [lake.materialize_if_stale(ws.spark, path, narrow, ["mun_pib_per_capita"], True)[1],
              lake.materialize_if_stale(ws.spark, path, narrow, ["mun_pib_per_capita"])[1]]
@@ -59,7 +59,7 @@ def materialize(ws: Workspace) -> DataFrame:
 
 
 def partitioned_write(ws: Workspace) -> DataFrame:
-    root = lake.run_folder(ws.spark, "ml", "porte", ws.sf_dir.replace("/", "_"))
+    root = lake.run_folder(ws.spark, "ml", "porte", ws.key)
     size = ws.enrollment[0]
     for day in ("2024-03-01", "2024-03-02", "2024-03-02"):     # the second day is replaced
         lake.write_snapshot(size, root, day)
@@ -70,7 +70,7 @@ def partitioned_write(ws: Workspace) -> DataFrame:
 
 
 def write_reconcile(ws: Workspace) -> DataFrame:
-    root = lake.run_folder(ws.spark, "ml", "modelavel", ws.sf_dir.replace("/", "_"))
+    root = lake.run_folder(ws.spark, "ml", "modelavel", ws.key)
     done = lake.write_snapshot(ctx.modelable_population(ws.alunos_now), root, "2024-03-01")
     return lake.reconcile(ws.spark, done)
 
@@ -80,7 +80,7 @@ def report_csv(ws: Workspace) -> DataFrame:
         F.count(F.lit(1)).alias("redes"),
         (F.sum("peso_alfabetizados") / F.sum("peso_total") * 100).alias("taxa"))
     return lake.write_report(d, lake.run_folder(ws.spark, "reports", "regioes",
-                                                ws.sf_dir.replace("/", "_")), 3)
+                                                ws.key), 3)
 
 
 def geojson_rings(ws: Workspace) -> DataFrame:

@@ -17,7 +17,6 @@ from ..functions.metadata import (FACTOR_ORDER, FACTORS, HYPOTHESIS_OF, INDICATO
 from ..operators import guards, metrics, modeling
 from ..operators.modeling import BOOSTING, FOREST, LOGISTIC, Folds
 from ..operators.prepare import Design, Preparation, weighted_groups
-from ..operators.splits import sample_rows
 from ..sources import lake
 from .profile_queries import decision_list, rounded
 from .report_queries import fold_rows
@@ -29,7 +28,7 @@ DESIGN = Design(NUMERIC_MODEL, list(TERRITORY),
 FOREST_PARAMS = {"n_estimators": 20, "min_samples_leaf": 5, "max_features": 0.3, "max_depth": 6}
 BOOSTING_PARAMS = {"learning_rate": 0.1, "max_iter": 5, "max_leaf_nodes": 7, "min_samples_leaf": 10}
 LOGISTIC_PARAMS = {"C": 0.1668, "max_iter": 100}
-SAMPLE, REPEATS = 2000, 3
+REPEATS = 3
 
 
 def part(ws, *names) -> DataFrame:
@@ -37,7 +36,7 @@ def part(ws, *names) -> DataFrame:
 
 
 def folder(ws, *names) -> str:
-    return lake.run_folder(ws.spark, "ml", "modelos", ws.sf_dir.strip("/").replace("/", "_"), *names)
+    return lake.run_folder(ws.spark, "ml", "modelos", ws.key, *names)
 
 
 def once(ws, name: str, build):
@@ -259,7 +258,7 @@ def dependence(ws) -> DataFrame:
     names = list(FACTORS)
 
     def build():
-        sample = sample_rows(ws.redes, "unidade", ws.cycle.seed, SAMPLE).withColumn("grupo", F.lit("amostra"))
+        sample = ws.redes.withColumn("grupo", F.lit("amostra"))      # every network: the whole table is the sample
         regions = ws.redes.withColumn("grupo", F.col("nome_regiao"))
         return modeling.partial_dependence(final_model(ws), sample.unionByName(regions), names,
                                            folder(ws, "grade"))
@@ -329,6 +328,7 @@ def model_register(ws):
     measured = measure_test(fitted, test).first()
     lake.write_register(ws.spark, f"{path}/receita", {
         "familia": FOREST, "parametros": {k: float(v) for k, v in FOREST_PARAMS.items()},
+        "parametros_texto": json.dumps(FOREST_PARAMS, sort_keys=True),
         "criterio": "menor log-loss na validação cruzada", "semente": ws.cycle.seed,
         "metricas": {k: round(measured[k], 5) for k in ("auc", "log_loss", "brier")},
         "variaveis": DESIGN.variables})

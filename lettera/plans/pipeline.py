@@ -30,7 +30,7 @@ class Settings:
     minimum_rounds: int = 4
     shuffles: int = 2
     repeats: int = 10
-    sample: int = 2000
+    sample: int | None = None         # networks behind the national curves; all unless a number is given
     parallelism: int = 4
     reuse_search: bool = False        # read the stored search results where there are any
     reuse_curation: bool = False      # read the stored variable selection where there is one
@@ -208,7 +208,8 @@ def answer_questions(ws: Workspace, out: str, model: Fitted, registered_auc: flo
     guards.enforce(guards.lookup_gaps(ws.redes, names, "id_municipio"), "municipality without a name")
     answers: dict[str, DataFrame] = {}
     if levers:
-        groups = sample_rows(ws.redes, "unidade", seed, s.sample).withColumn("grupo", F.lit("amostra")) \
+        chosen = ws.redes if s.sample is None else sample_rows(ws.redes, "unidade", seed, s.sample)
+        groups = chosen.withColumn("grupo", F.lit("amostra")) \
             .unionByName(ws.redes.withColumn("grupo", F.col("nome_regiao")))
         curve = modeling.partial_dependence(model, groups, levers, f"{out}/grade")
         curve.write.mode("overwrite").parquet(f"{out}/dependencia")

@@ -7,6 +7,7 @@ shared folder once per application and read from there, like the stored base tab
 """
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,10 +134,14 @@ class Workspace:
     def _unit_plan(self) -> DataFrame:
         return self.pupil_sums().join(self.context, UNIT, "left")
 
+    @cached_property
+    def key(self) -> str:
+        """Names the source folder and every field of the cycle, so no run reads another one's tables."""
+        return hashlib.md5(repr((self.sf_dir.rstrip("/"), self.cycle)).encode()).hexdigest()
+
     def stored(self, name: str, build, required=()) -> DataFrame:
         """A result several reports share, written once per application."""
-        key = self.sf_dir.strip("/").replace("/", "_")
-        return materialize_if_stale(self.spark, run_folder(self.spark, "ml", name, key), build,
+        return materialize_if_stale(self.spark, run_folder(self.spark, "ml", name, self.key), build,
                                     required)[0]
 
     @cached_property

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import with_totals
 from ..functions.exprs import hash_number as h
 from ..functions.exprs import recode
+from .lake import read_clean
 
 FLAG_TO_NETWORK = {"A": "Estadual", "R": "Municipal", "N": "Privada"}
 FLAG_TO_CODE = {"A": "2", "R": "3", "N": "4"}
@@ -30,7 +31,7 @@ class DemoTables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_clean(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     # -- keys -------------------------------------------------------------------------------
     def places(self) -> DataFrame:

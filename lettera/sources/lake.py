@@ -21,10 +21,12 @@ class StopRun(RuntimeError):
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only where the session names none (local tests) a temporary one is set.
+    Where the session names none, a local session gets a temporary one and a cluster is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise StopRun("spark.checkpoint.dir must name a folder that all executors share")
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
@@ -65,7 +67,7 @@ def read_latest(spark: SparkSession, root: str, columns: Sequence[str] | None =
     found = snapshots(spark, root)
     if not found:
         raise StopRun(f"no snapshot under {root}")
-    df = spark.read.option("basePath", root).parquet(f"{root}/{PARTITION}={found[-1]}")
+    df = read_clean(spark.read.option("basePath", root).parquet(f"{root}/{PARTITION}={found[-1]}"))
     return df.select(*columns) if columns else df
 
 
@@ -79,11 +81,11 @@ def materialize_if_stale(spark: SparkSession, path: str, build: Callable[[], Dat
                          required: Sequence[str] = (), refresh: bool = False) -> tuple[DataFrame, str]:
     """Reuse a stored result when it is complete and has the required columns, else build it."""
     if not refresh and path_exists(spark, f"{path}/_SUCCESS"):
-        stored = spark.read.parquet(path)
+        stored = read_clean(spark.read.parquet(path))
         if not set(required) - set(stored.columns):
             return stored, "cache"
     build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), "consultada"
+    return read_clean(spark.read.parquet(path)), "consultada"
 
 
 def write_snapshot(df: DataFrame, root: str, day: str | None = None) -> dict:
@@ -145,7 +147,7 @@ def write_register(spark: SparkSession, path: str, recipe: dict) -> None:
                           "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-REGISTER_SCHEMA = ("familia string, parametros map<string,double>, criterio string, "
+REGISTER_SCHEMA = ("familia string, parametros map<string,double>, parametros_texto string, criterio string, "
                    "metricas map<string,double>, semente int, variaveis array<string>")
 
 

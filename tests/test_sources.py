@@ -99,3 +99,23 @@ def test_search_parameters_survive_csv(spark, tmp_path):
     d.write.option("header", True).option("escape", '"').csv(path)
     back = spark.read.schema("p string").option("header", True).option("escape", '"').csv(path)
     assert back.select(F.from_json("p", "map<string,string>")["m"]).first()[0] == "a,b"
+
+
+def test_two_cycles_do_not_share_tables(spark, sf_dir):
+    from dataclasses import replace
+
+    from lettera.constants import DEMO
+    from lettera.plans.workspace import Workspace
+
+    now, other = Workspace(spark, sf_dir), Workspace(spark, sf_dir, replace(DEMO, target=DEMO.target - 2))
+    assert now.key != other.key
+    pupils = lambda ws: ws.units.agg({"alunos": "sum"}).first()[0]
+    assert pupils(now) == now.pupil_sums().agg({"alunos": "sum"}).first()[0]
+    assert pupils(other) == other.pupil_sums().agg({"alunos": "sum"}).first()[0]
+
+
+def test_nan_counts_as_missing(spark):
+    from lettera.operators.ordering import value_counts
+
+    d = spark.createDataFrame([(1.5,), (3.0,), (float("nan"),), (None,), (3.0,)], "v double")
+    assert sorted((r.v, r.n) for r in value_counts(d, "v").collect()) == [(1.5, 1), (3.0, 2)]

@@ -22,8 +22,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts is replaced by pseudonyms of the same format."""
-    return pseudonyms.pseudonymize(docs, DEMO_KEY).select(*docs.columns)
+    """Personal data in the texts is replaced by pseudonyms of the same format; n_chars follows the new text."""
+    d = pseudonyms.pseudonymize(docs, DEMO_KEY)
+    return d.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -149,17 +149,17 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") -> DataFrame:
-    """(id, set_id, bands) of each row; set_id and bands are null for a text without words."""
+    """(id, place, set_id, bands) of each row: `place` is a hash of the text; set_id and bands are null without words."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, t in zip(batch["id"], batch["text"]):
+            for doc, place, t in zip(batch["id"], batch["place"], batch["text"]):
                 found = shingles(t, s)
-                out.append((doc, set_id(found), band_keys(signature(found, s), s) if len(found) else None))
-            yield pd.DataFrame(out, columns=["id", "set_id", "bands"])
+                out.append((doc, place, set_id(found), band_keys(signature(found, s), s) if len(found) else None))
+            yield pd.DataFrame(out, columns=["id", "place", "set_id", "bands"])
 
-    lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
-    return lean.mapInPandas(work, "id long, set_id binary, bands array<long>")
+    lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
+    return lean.mapInPandas(work, "id long, place long, set_id binary, bands array<long>")
 
 
 def _tiles(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
@@ -192,10 +192,10 @@ def _tiles(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
 
 
 def near_classes(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Fingerprints of all rows, and (set_id, copies, links, texts, class_id) of each distinct set.
+    """Fingerprints of all rows, and (set_id, copies, links, texts, class_id, root) of each distinct set.
 
     `links` counts the other rows that reach the threshold, copies included; `texts` the other sets.
-    `class_id` is the smallest id among all rows joined by links.
+    `class_id` is the smallest id among all rows joined by links, `root` the smallest set.
     """
     bounded_batches(docs.sparkSession)
     prints = stored(fingerprints(docs, s, text), "prints")
@@ -241,7 +241,7 @@ def near_classes(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") ->
          .withColumn("root", F.coalesce("root", "set_id")))
     classes = d.groupBy("root").agg(F.min("least").alias("class_id"))
     d = d.join(classes, "root").select("set_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-                                       F.coalesce("texts", F.lit(0)).alias("texts"), "class_id")
+                                       F.coalesce("texts", F.lit(0)).alias("texts"), "class_id", "root")
     return prints, stored(d, "classes")
 
 
@@ -263,12 +263,13 @@ def join_documents(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") -
 
 
 def keep_one(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") -> DataFrame:
-    """`docs` with one row of each class: the one with the smallest doc_id.
+    """`docs` with one row of each class: the one with the smallest doc_id, and of its equal rows one.
 
-    Of several rows with that doc_id one stays. Rows without words all stay, one for each doc_id.
+    Texts without words are in no class: of rows with equal doc_id and text one stays.
     """
     prints, classes = near_classes(docs, s, text)
-    d = prints.select("id", "set_id").join(classes.select("set_id", "class_id"), "set_id", "left")
-    keepers = d.filter(F.coalesce("class_id", "id") == F.col("id")).select(F.col("id").alias("_id")).distinct()
-    kept = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keepers, "_id", "left_semi")
-    return kept.dropDuplicates(["_id"]).drop("_id")
+    d = prints.select("id", "place", "set_id").join(classes.select("set_id", "root"), "set_id", "left")
+    first = d.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("id", "place")).alias("k"))
+    keepers = first.select("k.id", "k.place").union(d.filter(F.col("root").isNull()).select("id", "place")).distinct().toDF("_id", "_place")
+    kept = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_place", F.xxhash64(text))
+    return kept.join(keepers, ["_id", "_place"], "left_semi").dropDuplicates(["_id", "_place"]).drop("_id", "_place")

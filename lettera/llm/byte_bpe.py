@@ -111,23 +111,24 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         merged(F.col("_hex"), ranks, literal)).alias("ids"))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 100_000) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 50_000) -> DataFrame:
     """(doc_id, ids): the tokens of each row's whole text, as array<int>.
 
     `pattern` cuts a text into words, each encoded apart, without special tokens. A batch folds each of its
-    distinct words once; a task remembers words it has folded and starts afresh beyond `most_words`. Nothing is
+    distinct words once; a task remembers words it has folded, and beyond
+    `most_words` of them only those that come again. Nothing is
     shuffled, and the rank map is as long as the vocabulary. Null and empty texts have no tokens; null doc_ids
     stay; repeated rows get equal tokens; other columns of `docs` are not looked at. An empty table gives an
     empty one.
     """
-    bounded_batches(docs.sparkSession, 128, 1_000_000)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, known, ranked = regex.compile(pattern).findall, {}, shared.value
+        split, known, older, ranked = regex.compile(pattern).findall, {}, {}, shared.value
         for batch in batches:
             if len(known) > most_words:
-                known.clear()
+                known, older = {}, known
             place: defaultdict[str, int] = defaultdict(count().__next__)
             numbers = []
             for t in batch["text"]:
@@ -135,7 +136,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
                 numbers.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)))
             for w in place:
                 if w not in known:
-                    known[w] = np.array(fold(w.encode(), ranked), np.int32).tobytes()
+                    known[w] = older.get(w) or np.array(fold(w.encode(), ranked), np.int32).tobytes()
             pieces = [known[w] for w in place]
             sizes = np.array([len(x) // 4 for x in pieces], np.int64)
             flat, starts = np.frombuffer(b"".join(pieces), np.int32), np.cumsum(sizes) - sizes

@@ -42,8 +42,7 @@ def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 4_000_000)
     """Arrow batches of this session hold so many rows and bytes at most: rows carry whole texts."""
     for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
         key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key, None)
-        if now is not None and not 0 < int(re.sub(r"\D", "", now) or 0) <= most:
+        if not 0 < int(re.sub(r"\D", "", spark.conf.get(key))) <= most:
             spark.conf.set(key, str(most))
 
 

@@ -111,7 +111,7 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         merged(F.col("_hex"), ranks, literal)).alias("ids"))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 50_000) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 150_000) -> DataFrame:
     """(doc_id, ids): the tokens of each row's whole text, as array<int>.
 
     `pattern` cuts a text into words, each encoded apart, without special tokens. A batch folds each of its
@@ -121,7 +121,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     stay; repeated rows get equal tokens; other columns of `docs` are not looked at. An empty table gives an
     empty one.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 2048, 16_000_000)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

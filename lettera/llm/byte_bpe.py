@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import count
 
 import numpy as np
@@ -24,6 +25,8 @@ from .common import NO_ID, bounded_batches, let
 #: Buckets of the literal rank map; an entry's bucket is its hash.
 BUCKETS = 1 << 16
 _NONE = 2 ** 31 - 1
+#: Bytes of a word beyond which its pairs wait in a heap, so that time does not grow with the square.
+LONG = 200
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,6 +94,8 @@ def fold(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     own = ranks.get(piece)
     if own is not None:
         return [own]
+    if len(piece) > LONG:
+        return _fold_long(piece, ranks)
     parts = [piece[i:i + 1] for i in range(len(piece))]
     pair = [ranks.get(a + b, _NONE) for a, b in zip(parts, parts[1:])] + [_NONE]
     while (low := min(pair)) != _NONE:
@@ -103,6 +108,28 @@ def fold(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[x] for x in parts]
 
 
+def _fold_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges for a word of many bytes: its pairs wait in a heap, by rank and then by place."""
+    n = len(piece)
+    ends, before = list(range(1, n + 1)), list(range(-1, n - 1))     # a part starts at i and ends at ends[i]
+    alive = bytearray(b"\1") * n
+    waiting = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
+    heapify(waiting)
+    while waiting:
+        _, i, stop = heappop(waiting)
+        mid = ends[i]
+        if not alive[i] or mid >= n or ends[mid] != stop:
+            continue                                                 # one of the two was joined since
+        alive[mid], ends[i] = 0, stop
+        if stop < n:
+            before[stop] = i
+            if (r := ranks.get(piece[i:ends[stop]])) is not None:
+                heappush(waiting, (r, i, ends[stop]))
+        if i and (r := ranks.get(piece[before[i]:stop])) is not None:
+            heappush(waiting, (r, before[i], stop))
+    return [ranks[piece[i:ends[i]]] for i in range(n) if alive[i]]
+
+
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """`words` (word, not empty) with `ids`, folded by higher-order functions with the literal rank map."""
     literal = rank_literal(ranks)

@@ -142,3 +142,22 @@ def test_mixture_meets_its_targets(spark):
     assert sorted(map(str, got)) == sorted(map(str, mixture.mix(d).collect()))
     assert mixture.mix(table(spark, []).drop("size")).count() == 0
     assert mixture.repeated(mixture.mix(d), d.columns).count() == sum(r.repeats for r in got)
+
+
+def test_long_words_fold_as_short_ones_do():
+    """Words beyond byte_bpe.LONG bytes wait in a heap; the tokens are those of tiktoken, also among ties."""
+    import random
+
+    import public_tokenizers
+    import tiktoken
+
+    from lettera.llm import byte_bpe
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    plain = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    for letters in ("a", "ab", "etaoinshrdlu", "éèüßa", "01"):
+        for n in (1, 2, byte_bpe.LONG, byte_bpe.LONG + 1, 3000):
+            word = "".join(rng.choice(letters) for _ in range(n))
+            assert byte_bpe.fold(word.encode(), ranks) == plain.encode_ordinary(word)
+            assert byte_bpe._fold_long(word.encode(), ranks) == plain.encode_ordinary(word)

@@ -94,10 +94,16 @@ def held_out(doc_id: Column, fold: int = 2, folds: int = 4) -> Column:
 
 
 def training_rows(docs: DataFrame, s: Settings = DEFAULT) -> DataFrame:
-    """(lang, text): up to `sample` labelled training texts of each language, chosen by a hash."""
+    """(lang, text): about `sample` labelled training texts of each language and no more, chosen by a hash."""
     able = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    # a hash threshold first, so that no task gets all ids of a language; as many counts as the model has languages
+    sizes = able.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    if not sizes:
+        return able.select("lang", "text")
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, s.sample / r["n"]))])[F.col("lang")]
+    low = able.select("lang", "doc_id").filter(F.pmod(F.xxhash64("doc_id"), F.lit(2 ** 30)) < share * 2 ** 30)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = able.select("lang", "doc_id").withColumn("_r", rank).filter(F.col("_r") <= s.sample).select("doc_id").distinct()
+    chosen = low.withColumn("_r", rank).filter(F.col("_r") <= s.sample).select("doc_id").distinct()
     return able.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
 
 

@@ -66,8 +66,8 @@ def _weight(tf: Column, df: Column, n: Column) -> Column:
 def matches(files: DataFrame, text: str = "text", least: float = 0.6) -> DataFrame:
     """(key, license, score, words): the best template of a file's passages, if its cosine is `least` or more.
 
-    Document frequencies count all passages of `files`, for the words of the templates; a word that
-    no template has weighs as one that occurs nowhere else. Ties go to the first licence by name.
+    Document frequencies count all passages of `files`, for every word of theirs, so scores don't fall
+    as a table grows. Ties go to the first licence by name.
     """
     spark = files.sparkSession
     found = stored(passages(files, text).dropDuplicates(["key", "place"]), "passages")
@@ -76,15 +76,14 @@ def matches(files: DataFrame, text: str = "text", least: float = 0.6) -> DataFra
     terms = stored(terms.groupBy("key", "place", "term").agg(F.count("*").alias("tf")), "terms")
     own = spark.createDataFrame(_template_terms(), "template int, license string, term string, ttf long")
     vocabulary = F.broadcast(own.select("term").distinct())
-    df = (terms.join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("df")))
-    df = vocabulary.join(df, "term", "left").fillna(0, ["df"])
-    weights = stored(own.join(df, "term").withColumn("w", _weight(F.col("ttf"), F.col("df"), n)), "weights")
+    df = stored(terms.groupBy("term").agg(F.count("*").alias("df")), "df")
+    known = vocabulary.join(df.join(vocabulary, "term"), "term", "left").fillna(0, ["df"])
+    weights = stored(own.join(known, "term").withColumn("w", _weight(F.col("ttf"), F.col("df"), n)), "weights")
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
-    by_term = weights.groupBy("term").agg(F.first("df").alias("df"), F.collect_list(
-        F.struct("template", "license", "w")).alias("in"))
+    by_term = weights.groupBy("term").agg(F.collect_list(F.struct("template", "license", "w")).alias("in"))
     by_passage = Window.partitionBy("key", "place")
-    scored = (terms.join(F.broadcast(by_term), "term", "left")
-              .withColumn("_w", _weight(F.col("tf"), F.coalesce("df", F.lit(0)), n))
+    scored = (terms.join(df, "term").join(F.broadcast(by_term), "term", "left")
+              .withColumn("_w", _weight(F.col("tf"), F.col("df"), n))
               .withColumn("_norm", F.sqrt(F.sum(F.col("_w") ** 2).over(by_passage)))
               .select("key", "place", "_w", "_norm", F.explode("in").alias("t"))
               .groupBy("key", "place", F.col("t.template").alias("template"), F.col("t.license").alias("license"))

@@ -111,6 +111,19 @@ def test_licenses_are_found_and_inherited(spark):
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_license_scores_do_not_fall_as_the_table_grows(spark):
+    lines = ["This project is licensed under the MIT License.", "Our tool is licensed under the Apache License, Version 2.0.",
+             "Copyright of this project belongs to the authors.", "The license of this project and tool is plain words here."]
+
+    def scores(copies):
+        d = spark.range(copies).select("id", F.explode(F.array(*map(F.lit, lines))).alias("text"))
+        got = licenses.matches(d.select(F.xxhash64("id", "text").alias("key"), "text"), least=0.05)
+        return dict(got.join(d.select(F.xxhash64("id", "text").alias("key"), "text"), "key").groupBy("text").agg(F.min("score")).collect())
+
+    few, many = scores(3), scores(3000)
+    assert all(few[x] >= 0.6 and many[x] >= few[x] - 0.02 for x in lines[:2])
+
+
 def plain_targets(sizes, epochs=3):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}

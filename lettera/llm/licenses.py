@@ -1,13 +1,15 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance down directory paths.
 
-Passages that name a licence are compared with short standard notices. A file takes the licence of
-its best passage. A file that is mostly such a passage is a licence file of its directory, and files
-without a licence of their own take that of the nearest directory above them that has one.
+Passages that name a licence are compared with short standard notices, and whole texts with the full
+texts of licences. A file takes the licence of its best passage or of its whole text, whichever is
+closer. A file that is a licence text, or mostly such a passage, is a licence file of its directory, and files without
+a licence of their own take that of the nearest directory above them that has one.
 """
 from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,14 +41,20 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0 Universal Public Domain Dedication."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: Full texts, one file for each licence identifier.
+TEXTS = Path(__file__).with_name("license_texts")
 #: Words that mark a passage as one to compare.
 ANCHOR = (r"(?i)(licen[cs]e|spdx-|public domain|creative commons|free software|permission (is hereby|to use)|"
           r"redistribution and use|\bcc[ -](by|0)|copyright)")
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
 
-def _template_terms() -> list[tuple[int, str, str, int]]:
-    return [(n, name, t, found.count(t)) for n, (name, text) in enumerate(TEMPLATES)
+def full_texts() -> tuple[tuple[str, str], ...]:
+    return tuple((p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt")))
+
+
+def _template_terms(templates: tuple[tuple[str, str], ...]) -> list[tuple[int, str, str, int]]:
+    return [(n, name, t, found.count(t)) for n, (name, text) in enumerate(templates)
             for found in [re.findall(TOKEN, text.lower())] for t in sorted(set(found))]
 
 
@@ -63,18 +71,16 @@ def _weight(tf: Column, df: Column, n: Column) -> Column:
     return (1 + F.log(tf)) * (1 + F.log((1 + n) / (1 + df)))
 
 
-def matches(files: DataFrame, text: str = "text", least: float = 0.6) -> DataFrame:
-    """(key, license, score, words): the best template of a file's passages, if its cosine is `least` or more.
+def _scored(found: DataFrame, templates: tuple[tuple[str, str], ...]) -> DataFrame:
+    """(key, place, license, score): the cosine of each of the passages `found` to each template it shares words with.
 
-    Document frequencies count all passages of `files`, for every word of theirs, so scores don't fall
-    as a table grows. Ties go to the first licence by name.
+    Document frequencies count all of `found`, for every word of theirs, so scores don't fall as a table grows.
     """
-    spark = files.sparkSession
-    found = stored(passages(files, text).dropDuplicates(["key", "place"]), "passages")
+    spark = found.sparkSession
     n = F.lit(found.count())
     terms = found.select("key", "place", F.explode(F.regexp_extract_all(F.lower("passage"), F.lit(TOKEN), F.lit(0))).alias("term"))
     terms = stored(terms.groupBy("key", "place", "term").agg(F.count("*").alias("tf")), "terms")
-    own = spark.createDataFrame(_template_terms(), "template int, license string, term string, ttf long")
+    own = spark.createDataFrame(_template_terms(templates), "template int, license string, term string, ttf long")
     vocabulary = F.broadcast(own.select("term").distinct())
     df = stored(terms.groupBy("term").agg(F.count("*").alias("df")), "df")
     known = vocabulary.join(df.join(vocabulary, "term"), "term", "left").fillna(0, ["df"])
@@ -82,18 +88,34 @@ def matches(files: DataFrame, text: str = "text", least: float = 0.6) -> DataFra
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
     by_term = weights.groupBy("term").agg(F.collect_list(F.struct("template", "license", "w")).alias("in"))
     by_passage = Window.partitionBy("key", "place")
-    scored = (terms.join(df, "term").join(F.broadcast(by_term), "term", "left")
-              .withColumn("_w", _weight(F.col("tf"), F.col("df"), n))
-              .withColumn("_norm", F.sqrt(F.sum(F.col("_w") ** 2).over(by_passage)))
-              .select("key", "place", "_w", "_norm", F.explode("in").alias("t"))
-              .groupBy("key", "place", F.col("t.template").alias("template"), F.col("t.license").alias("license"))
-              .agg(F.sum(F.col("_w") * F.col("t.w")).alias("dot"), F.first("_norm").alias("_norm"))
-              .join(F.broadcast(norms), "template")
-              .withColumn("score", F.round(F.col("dot") / (F.col("_norm") * F.col("norm")), 9)))
-    scored = scored.filter(F.col("score") >= least).join(
-        found.select("key", "place", F.regexp_count("passage", F.lit(WORD)).alias("words")), ["key", "place"])
-    best = F.min_by(F.struct("license", "score", "words"), F.struct(-F.col("score"), "license", -F.col("words")))
-    return scored.groupBy("key").agg(best.alias("m")).select("key", "m.license", "m.score", "m.words")
+    return (terms.join(df, "term").join(F.broadcast(by_term), "term", "left")
+            .withColumn("_w", _weight(F.col("tf"), F.col("df"), n))
+            .withColumn("_norm", F.sqrt(F.sum(F.col("_w") ** 2).over(by_passage)))
+            .select("key", "place", "_w", "_norm", F.explode("in").alias("t"))
+            .groupBy("key", "place", F.col("t.template").alias("template"), F.col("t.license").alias("license"))
+            .agg(F.sum(F.col("_w") * F.col("t.w")).alias("dot"), F.first("_norm").alias("_norm"))
+            .join(F.broadcast(norms), "template")
+            .withColumn("score", F.round(F.col("dot") / (F.col("_norm") * F.col("norm")), 9)))
+
+
+def matches(files: DataFrame, text: str = "text", least: float = 0.6) -> DataFrame:
+    """(key, license, score, words): the best template of a file's passages or best full text for the whole file,
+    if its cosine is `least` or more. Ties go to the first licence by name. `words` are those of the longest
+    part of the file, up to the whole, that reaches `least` for that licence.
+    """
+    found = stored(passages(files, text).dropDuplicates(["key", "place"]), "passages")
+    whole = stored(files.filter(F.col(text).rlike(ANCHOR)).dropDuplicates(["key"])
+                   .select("key", F.lit(-1).alias("place"), F.col(text).alias("passage")), "whole")
+    size = F.regexp_count("passage", F.lit(WORD)).alias("words")
+    scored = None
+    for part, templates in ((found, TEMPLATES), (whole, full_texts())):
+        one = _scored(part, templates).filter(F.col("score") >= least).select("key", "place", "license", "score")
+        one = one.join(part.select("key", "place", size), ["key", "place"])
+        scored = one if scored is None else scored.unionByName(one)
+    by_license = scored.groupBy("key", "license").agg(
+        F.max("score").alias("score"), F.max("words").alias("words"))
+    best = F.min_by(F.struct("license", "score", "words"), F.struct(-F.col("score"), "license"))
+    return by_license.groupBy("key").agg(best.alias("m")).select("key", "m.license", "m.score", "m.words")
 
 
 def parents(path: Column) -> Column:
@@ -118,7 +140,7 @@ def inherit(files: DataFrame) -> DataFrame:
 def scan(files: DataFrame, path: str = "path", text: str = "text", least: float = 0.6, share: float = 0.5) -> DataFrame:
     """`files` with license, license_score, license_origin (`own`, `inherited` or null) and license_from.
 
-    A file whose licence passage holds `share` or more of its words is a licence file: license_from of the
+    A file that is a full licence text, or whose licence passage holds `share` or more of its words, is a licence file: license_from of the
     files that inherit is its directory. A null text has no licence of its own; a null path has no
     directory, so it neither gives nor inherits. Repeated rows get equal results. Columns of `files` with
     these names are replaced. An empty table gives an empty one.

@@ -53,10 +53,38 @@ def order_key(seed: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
 
 
-def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), epochs: float = 3.0, seed: str = "mix") -> DataFrame:
+def _mixed(docs: DataFrame, cycle: tuple[int, ...], epochs: float, seed: str, size: str | None) -> DataFrame:
+    """`docs` with _size, _source_size, _target and _repeats."""
+    names = [c for c in docs.columns if c != "_given"]
+    d = docs.select(*names, (F.col(size) if size else words_of()).alias("_size"))
+    lean = stored(d.select("doc_id", "source", "_size"), "sizes")
+    totals = lean.groupBy("source").agg(F.sum("_size").alias("source_size"))
+    fill = water_fill(cyclic_weights(totals, cycle), epochs).withColumn(
+        "_rate", F.when(F.col("source_size") > 0, F.least(F.lit(float(epochs)), F.col("target") / F.col("source_size")))
+        .otherwise(0.0))
+    keys = lambda x: (x.withColumn("_source", _not_null("source"))
+                      .withColumn("_key", order_key(seed)).withColumn("_part", F.substring("_key", 1, PARTS_HEX)))
+    parts = keys(lean).groupBy("_source", "_part").agg(F.sum("_size").alias("_n"))
+    parts = parts.withColumn("_before", F.sum("_n").over(Window.partitionBy("_source").orderBy("_part")) - F.col("_n"))
+    parts = parts.drop("_n").join(fill.select(_not_null("source").alias("_source"), F.col("source_size").alias("_source_size"),
+                                              F.col("target").alias("_target"), "_rate"), "_source")
+    d = keys(lean if set(names) <= {"doc_id", "source"} else d)
+    inside = F.sum("_size").over(Window.partitionBy("_source", "_part").orderBy("_key", "_size")
+                                 .rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(parts, ["_source", "_part"], "left")
+    whole = F.floor("_rate")
+    middle = F.col("_before") + F.col("_inside") + F.col("_size") / 2.0
+    again = middle < (F.col("_rate") - whole) * F.col("_source_size")
+    return d.select(*names, "_size", "_source_size", "_target",
+                    (whole + F.when(again, 1).otherwise(0)).cast("int").alias("_repeats"))
+
+
+def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), epochs: float = 3.0, seed: str = "mix",
+        size: str | None = None) -> DataFrame:
     """`docs` with size, source_size, target and `repeats`, the times the mix takes the row.
 
-    `size` is the words of `text`, unless `docs` brings a column of that name.
+    `size` is the words of `text`, unless the parameter names a column that holds it. Columns of `docs`
+    with the names of the four are replaced.
 
     A source with target/size = e takes every row floor(e) times, and once more those rows that come
     first in a seeded order, up to the fraction that is left: a row is taken if its middle lies
@@ -67,29 +95,16 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), epochs: float = 3.0
     """
     own = ["size", "source_size", "target", "repeats"]
     names = [c for c in docs.columns if c not in own]
-    d = docs.select(*names, F.col("size") if "size" in docs.columns else words_of().alias("size"))
-    lean = stored(d.select("doc_id", "source", "size"), "sizes")
-    totals = lean.groupBy("source").agg(F.sum("size").alias("source_size"))
-    fill = water_fill(cyclic_weights(totals, cycle), epochs).withColumn(
-        "rate", F.when(F.col("source_size") > 0, F.least(F.lit(float(epochs)), F.col("target") / F.col("source_size")))
-        .otherwise(0.0))
-    keys = lambda x: (x.withColumn("_source", _not_null("source"))
-                      .withColumn("_key", order_key(seed)).withColumn("_part", F.substring("_key", 1, PARTS_HEX)))
-    parts = keys(lean).groupBy("_source", "_part").agg(F.sum("size").alias("_n"))
-    parts = parts.withColumn("_before", F.sum("_n").over(Window.partitionBy("_source").orderBy("_part")) - F.col("_n"))
-    parts = parts.drop("_n").join(fill.select(_not_null("source").alias("_source"), "source_size", "target", "rate"), "_source")
-    d = keys(lean if set(names) <= {"doc_id", "source"} else d)
-    inside = F.sum("size").over(Window.partitionBy("_source", "_part").orderBy("_key", "size")
-                                .rowsBetween(Window.unboundedPreceding, -1))
-    d = d.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(parts, ["_source", "_part"], "left")
-    whole = F.floor("rate")
-    middle = F.col("_before") + F.col("_inside") + F.col("size") / 2.0
-    again = middle < (F.col("rate") - whole) * F.col("source_size")
-    return d.select(*names, "size", "source_size", "target",
-                    (whole + F.when(again, 1).otherwise(0)).cast("int").alias("repeats"))
+    d = _mixed(docs.select(*names, *([F.col(size).alias("_given")] if size else [])), cycle, epochs, seed, size and "_given")
+    return d.select(*names, *[F.col(f"_{c}").alias(c) for c in own])
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
+def repeated(mixed: DataFrame, columns: list[str], repeats: str = "repeats") -> DataFrame:
     """Each row as often as the mix takes it."""
-    return (mixed.filter(F.col("repeats") > 0)
-            .select(*columns, F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("_copy")).drop("_copy"))
+    return (mixed.filter(F.col(repeats) > 0)
+            .select(*columns, F.explode(F.sequence(F.lit(1), F.col(repeats))).alias("_copy")).drop("_copy"))
+
+
+def take(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), epochs: float = 3.0, seed: str = "mix") -> DataFrame:
+    """Each row of `docs`, with all its columns as they are, as often as the mix by words takes it."""
+    return repeated(_mixed(docs, cycle, epochs, seed, None), docs.columns, "_repeats")

@@ -31,7 +31,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = mixture.mix(documents(spark, sf_dir).select("doc_id", "source", "text").select("doc_id", "source", mixture.words_of().alias("size")))
+    d = mixture.mix(documents(spark, sf_dir).select("doc_id", "source", "text").select("doc_id", "source", mixture.words_of().alias("size")), size="size")
     return d.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 

@@ -26,6 +26,15 @@ def test_stages_keep_the_columns_and_their_decisions(spark, sf_dir):
     assert n["tokens"] == n["mixture"] and back.count() == 0
 
 
+def test_the_mix_keeps_columns_with_names_of_its_own(spark, sf_dir):
+    docs = common.documents(spark, sf_dir)
+    want = corpus_pipeline.mix_sources(spark, docs, sf_dir)
+    more = docs.select("*", F.lit(None).cast("long").alias("size"), *[F.lit(7).alias(c) for c in ("rate", "source_size", "target", "repeats")])
+    got = corpus_pipeline.mix_sources(spark, more, sf_dir)
+    assert got.columns == more.columns and got.filter("size is null and rate = 7 and source_size = 7 and target = 7 and repeats = 7").count() == got.count()
+    assert want.count() > 0 and got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, sf_dir, name):
     con = duckdb.connect()

@@ -191,6 +191,24 @@ def _tiles(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
     return pd.concat(out) if out else pd.DataFrame(columns=["set_id", "links", "texts", "root"])
 
 
+def first_texts(docs: DataFrame, member: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of `member` (least, place, ...) with the texts of that id and hash; an id alone, such as the
+    one of all null ids, may stand for many texts."""
+    lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least"), F.xxhash64(text).alias("place"),
+                       F.col(text).alias("text"))
+    return lean.join(member, ["least", "place"])
+
+
+def block_partners(keys: DataFrame, member: DataFrame) -> DataFrame:
+    """(set_id, others): for each set of a pool of several blocks, the blocks in which another set shares a band with it."""
+    mine = stored(keys.join(member.filter("blocks > 1").select("set_id", "block"), "set_id"), "blocks")
+    there = (mine.groupBy("band", "block").agg(F.count("*").alias("n")).groupBy("band")
+             .agg(F.collect_list(F.struct("block", "n")).alias("there"), F.sum("n").alias("n")).filter("n > 1"))
+    met = F.transform(F.filter("there", lambda x: (x["block"] != F.col("block")) | (x["n"] > 1)), lambda x: x["block"])
+    return (mine.join(there.drop("n"), "band").select("set_id", met.alias("met")).groupBy("set_id")
+            .agg(F.array_distinct(F.flatten(F.collect_set("met"))).alias("others")))
+
+
 def near_classes(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all rows, and (set_id, copies, links, texts, class_id, root) of each distinct set.
 
@@ -200,14 +218,15 @@ def near_classes(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") ->
     bounded_batches(docs.sparkSession)
     prints = stored(fingerprints(docs, s, text), "prints")
     nodes = stored(prints.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(
-        F.min("id").alias("least"), F.count("*").alias("copies"), F.min_by("bands", "id").alias("bands")), "nodes")
+        F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("copies"), F.min_by("bands", "id").alias("bands"))
+        .select("set_id", F.col("first.id").alias("least"), F.col("first.place").alias("place"), "copies", "bands"), "nodes")
     keys = nodes.select("set_id", F.explode("bands").alias("band"))
     leaders = keys.groupBy("band").agg(F.min("set_id").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     star = keys.join(leaders, "band").select("set_id", "leader").distinct()
     pools = stored(components(star).select(F.col("node").alias("set_id"), F.col("root").alias("pool")), "pools")
     sizes = pools.groupBy("pool").agg(F.count("*").alias("size"))
     # blocks of a pool: by the set's own hash, so that every row knows its block without an order
-    member = (pools.join(sizes, "pool").join(nodes.select("set_id", "least", "copies"), "set_id")
+    member = (pools.join(sizes, "pool").join(nodes.select("set_id", "least", "place", "copies"), "set_id")
               .withColumn("blocks", F.ceil(F.col("size") / s.tile).cast("int"))
               .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")))
 
@@ -220,11 +239,12 @@ def near_classes(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") ->
                     out.append((wanted, pool, copies, blocks, block, found.tobytes(), signature(found, s).tobytes()))
             yield pd.DataFrame(out, columns=["set_id", "pool", "copies", "blocks", "block", "shingles", "signature"])
 
-    lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least"), F.col(text).alias("text"))
-    sketches = stored(lean.join(member, "least").mapInPandas(
+    sketches = stored(first_texts(docs, member, text).mapInPandas(
         sketch, "set_id binary, pool binary, copies long, blocks int, block int, shingles binary, signature binary"), "sketches")
-    # a row of block b takes part in the tiles (x, b) with x <= b as the second side and (b, y) as the first
-    tiles = sketches.dropDuplicates(["set_id"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # a row of block b takes part in the tiles (x, b) with x <= b as the second side and (b, y) as the first, where x and y
+    # hold a set that shares a band with it; a pool of one block is one tile
+    tiles = (sketches.dropDuplicates(["set_id"]).join(block_partners(keys, member), "set_id", "left")
+             .withColumn("other", F.explode(F.coalesce("others", F.array(F.lit(0))))))
     lower, upper = F.least("block", "other"), F.greatest("block", "other")
     tiles = (tiles.withColumn("side", F.when(F.col("block") <= F.col("other"), 0).otherwise(1))
              .withColumn("tile", F.concat_ws("/", F.hex("pool"), lower, upper)))

@@ -116,6 +116,30 @@ def test_jaccard_join_matches_brute_force(spark, docs):
     assert jaccard.join_documents(d.limit(0)).count() == 0
 
 
+def test_jaccard_join_of_many_texts_with_one_id(spark):
+    def near(k, x):
+        return " ".join(f"a{k}b{i}" for i in range(60)) + f" {x}"
+
+    rows = [(i, near(k, x)) for i in (None, 5) for k in range(30) for x in ("one", "two", "two")]
+    want = sorted((str(d), *map(str, c[:2])) for (d, _), c in zip(rows, plain_classes(rows)))
+    d = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], DOCS)
+    got = jaccard.join_documents(d).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), str(r.n_links)) for r in got) == want
+    prints = jaccard.fingerprints(d).filter("set_id is not null")
+    member = prints.groupBy("set_id").agg(F.min(F.struct("id", "place")).alias("f")).select("set_id", F.col("f.id").alias("least"), F.col("f.place").alias("place"))
+    assert member.count() == 60 and jaccard.first_texts(d, member).groupBy("set_id").count().filter("count > 2").count() == 0
+
+
+def test_sets_go_to_blocks_they_share_a_band_with(spark):
+    keys = [(n, b) for n in range(100) for b in (n, n + 1)]             # a chain: one pool, two partners each
+    member = spark.createDataFrame([(n, 100, n) for n in range(100)], "set_id long, blocks int, block int")
+    got = {r.set_id: sorted(r.others) for r in jaccard.block_partners(spark.createDataFrame(keys, "set_id long, band long"), member).collect()}
+    assert got == {n: [m for m in (n - 1, n + 1) if 0 <= m < 100] for n in range(100)}
+    one = spark.createDataFrame([(n, 2, n // 50) for n in range(100)], "set_id long, blocks int, block int")
+    got = {r.set_id: sorted(r.others) for r in jaccard.block_partners(spark.createDataFrame(keys, "set_id long, band long"), one).collect()}
+    assert got == {n: [0, 1] if n in (49, 50) else [n // 50] for n in range(100)}
+
+
 def test_bayes_limits_keep_what_reaches_the_threshold():
     limits = jaccard.least_matches()
     assert all(sum(math.comb(n, k) * 0.8 ** k * 0.2 ** (n - k) for k in range(m)) < 1e-5 for n, m in limits.items())

@@ -210,23 +210,28 @@ def test_evaluation(ws):
     return rounded(every.join(stable, "modelo", "left"), 5)
 
 
-def ablation(ws):
-    """Same folds, different variables: without territory, with each hypothesis block added to
-    the inertial base or taken out of the whole; differences are paired by fold."""
-    folds = unit_folds(ws, False)
+def ablation_sets(everything: list[str]) -> tuple[dict[str, list[str]], list[str]]:
+    """The variables of each configuration, and the hypothesis blocks, all of them, in their order."""
     code = lambda v: HYPOTHESIS_OF[v].split()[0]
-    everything = DESIGN.variables
     base = [v for v in everything if code(v) in ("H8", "controle")]
     blocks: dict[str, list[str]] = {}
     for v in everything:
         if v not in base:
             blocks.setdefault(code(v), []).append(v)
-    shown = dict(sorted(blocks.items(), key=lambda kv: int(kv[0][1:]))[:2])
+    shown = dict(sorted(blocks.items(), key=lambda kv: int(kv[0][1:])))
     sets = {"todas": everything, "sem território": [v for v in everything if v not in TERRITORY],
             "base": base}
     for h, vs in shown.items():
         sets[f"base + {h}"] = base + vs
         sets[f"todas menos {h}"] = [v for v in everything if v not in vs]
+    return sets, list(shown)
+
+
+def ablation(ws):
+    """Same folds, different variables: without territory, with each hypothesis block added to
+    the inertial base or taken out of the whole; differences are paired by fold."""
+    folds = unit_folds(ws, False)
+    sets, shown = ablation_sets(DESIGN.variables)
     per = None
     for name, vs in sets.items():
         one = modeling.cross_validate(folds, BOOSTING, BOOSTING_PARAMS,

@@ -62,3 +62,18 @@ def test_sources_keep_the_rules():
         text = path.read_text()
         assert "localCheckpoint" not in text and ".rdd" not in text and "monotonically_increasing" not in text
         assert not re.search(r"@F\.udf|F\.udf\(|percentile_approx", text)
+
+
+def test_ablation_takes_every_hypothesis_block_in_and_out():
+    from lettera.functions.metadata import HYPOTHESIS_OF, TERRITORY
+    from lettera.plans import model_queries as mq
+
+    every = mq.DESIGN.variables
+    of = {v: HYPOTHESIS_OF[v].split(" ")[0] for v in every}
+    base = [v for v in every if of[v] in ("H8", "controle")]
+    want = {"todas": every, "sem território": [v for v in every if v not in TERRITORY], "base": base}
+    for h in set(of.values()) - {"H8", "controle"}:
+        want[f"base + {h}"] = base + [v for v in every if of[v] == h]
+        want[f"todas menos {h}"] = [v for v in every if of[v] != h]
+    sets, blocks = mq.ablation_sets(every)
+    assert sets == want and len(want) == 15 and blocks == sorted(blocks, key=lambda h: int(h[1:]))

@@ -18,16 +18,25 @@ ROUNDS = 10
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _FREE, _SHUT = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+#: Characters of an account number by country: tells where one that is printed in groups of four ends.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_GROUPED = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+                    for n, c in IBAN_SIZES.items())
+_NATIONAL = "|".join(rf"[0-9]{{3}}{x}[0-9]{{3}}{x}[0-9]{{4}}|0[0-9]{x}[0-9]{{2}}{x}[0-9]{{2}}{x}[0-9]{{2}}{x}[0-9]{{2}}"
+                     rf"|0[0-9]{{2,4}}{x}[0-9]{{3,4}}{x}[0-9]{{3,4}}" for x in (" ", r"\.", "-")) + r"|0[0-9]{2,4} [0-9]{6,8}"
 #: Formats in the order in which they are tried at a place of the text.
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
-    "iban": rf"{_FREE}[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}{_SHUT}",
-    "date": rf"{_FREE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}){_SHUT}",
+    "iban": rf"{_FREE}[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}{_SHUT}|{_FREE}(?:{_GROUPED}){_SHUT}",
+    "date": rf"{_FREE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}})(?!(?!T[0-9])[0-9A-Za-z])",
     "ssn": rf"{_FREE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_SHUT}",
     "card": rf"{_FREE}(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}(?:[ -][0-9]{{1,3}})?|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_SHUT}",
     "phone": rf"(?:(?<![0-9+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,4}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}"
-             rf"|(?<![0-9)])\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}|{_FREE}[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}})(?![0-9])",
+             rf"|(?<![0-9)])\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|{_FREE}(?<![0-9]\.)(?:{_NATIONAL})(?!\.[0-9]))(?![0-9])",
 }
 ANY_FORMAT = "|".join(f"(?:{p})" for p in FORMATS.values())
 
@@ -133,29 +142,54 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    country, account = F.substring(m, 1, 2), F.substring(m, F.lit(5), F.char_length(m))
-    return F.when(iban_digits(country, account) == F.substring(m, 3, 2), let(
-        feistel_text(account, F.concat(F.lit("iban"), country), key),
-        lambda a: F.concat(country, iban_digits(country, a), a)))
+    """Checked without spaces, so that both spellings of a number get the same new one."""
+    def moved(c):
+        country, account = F.substring(c, 1, 2), F.substring(c, F.lit(5), F.char_length(c))
+        new = let(feistel_text(account, F.concat(F.lit("iban"), country), key), lambda a: F.concat(country, iban_digits(country, a), a))
+        grouped = lambda x: F.trim(F.regexp_replace(x, "(.{4})", "$1 "))
+        return F.when(iban_digits(country, account) == F.substring(c, 3, 2), F.when(m.contains(" "), grouped(new)).otherwise(new))
+    return let(F.replace(m, F.lit(" "), F.lit("")), moved)
 
 
-#: Days of 1900-01-01 to 2099-12-31, 17 times 4297: the dates that are permuted among themselves.
-_DATE_SIZES = (17, 4297)
+#: From 1900-01 to 2099-12: 28,800 days up to the 12th, 160 times 180; 44,249 after it, one less than 150 times 295.
+_FIRST, _MONTHS, _EARLY, _LATE, _LATE_SIZES = "1900-01-01", 2400, (160, 180), 44249, (150, 295)
 
 
 def _date(m: Column, key: str) -> Column:
-    iso = m.contains("-")
-    mark = F.substring(m, 3, 1)
-    day = F.when(iso, m).otherwise(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2))).try_cast("date")
-    first = F.lit("1900-01-01").cast("date")
+    """Days up to the 12th are permuted among themselves, and so are the others. So a date is moved alike in all
+    spellings, and a month-first one, which is known by its day after the 12th, remains one."""
+    iso, mark = m.contains("-"), F.substring(m, 3, 1)
+    first = F.lit(_FIRST).cast("date")
+    numbers = (F.substring(m, 1, 2), F.substring(m, 4, 2))
+    swapped = ~iso & (mark == "/") & (numbers[1] > "12") & (numbers[0] <= "12")
+    month, day = F.when(swapped, numbers[0]).otherwise(numbers[1]), F.when(swapped, numbers[1]).otherwise(numbers[0])
+    date = F.when(iso, m).otherwise(F.concat_ws("-", F.substring(m, 7, 4), month, day)).try_cast("date")
+    longs = lambda x: [F.lit(v).cast("long") for v in x]
+    start = lambda k: F.add_months(first, k.cast("int"))
+    late_before = lambda k: F.datediff(start(k), first).cast("long") - k * 12
+
+    def early(n):
+        return let(feistel(n, *longs(_EARLY), F.lit("date"), key), lambda v: F.date_add(start(_div(v, 12)), F.pmod(v, F.lit(12)).cast("int")))
+
+    def late(n):
+        step = lambda v: feistel(v, *longs(_LATE_SIZES), F.lit("late date"), key)
+        # the one number that is no day moves on once more
+        new = let(step(n), lambda v: F.when(v == _LATE, step(F.lit(_LATE).cast("long"))).otherwise(v))
+        near = lambda v: let(_div(v * _MONTHS, _LATE), lambda k: F.struct(
+            v.alias("v"), (k + F.when(late_before(k + 1) <= v, 1).when(late_before(k) > v, -1).otherwise(0)).alias("k")))
+        return let(let(new, near), lambda x: F.date_add(start(x["k"]), (x["v"] - late_before(x["k"]) + 12).cast("int")))
 
-    def moved(n):
-        a, b = (F.lit(x).cast("long") for x in _DATE_SIZES)
-        new = F.date_add(first, feistel(n, a, b, F.lit("date"), key).cast("int"))
-        return F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(
-            F.concat(F.date_format(new, "dd"), mark, F.date_format(new, "MM"), mark, F.date_format(new, "yyyy")))
+    def moved(d):
+        months = ((F.year(d) - 1900) * 12 + F.month(d) - 1).cast("long")
+        number = F.dayofmonth(d)
+        return F.when(number <= 12, early(months * 12 + number - 1)).otherwise(late(late_before(months) + number - 13))
+
+    def shown(new):
+        two = (F.date_format(new, "dd"), F.date_format(new, "MM"))
+        return F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(F.concat(
+            F.when(swapped, two[1]).otherwise(two[0]), mark, F.when(swapped, two[0]).otherwise(two[1]), mark, F.date_format(new, "yyyy")))
 
-    return let(F.datediff(day, first).cast("long"), lambda n: F.when((n >= 0) & (n < _DATE_SIZES[0] * _DATE_SIZES[1]), moved(n)))
+    return let(date, lambda d: F.when(F.year(d).between(1900, 2099), let(moved(d), shown)))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -208,7 +242,9 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """`docs` with personal data replaced in `text`, and `replaced`: map from format to number of values.
 
     Matches that fail their check (a wrong check digit, an impossible date) stay. Dates count from
-    1900 to 2099, as yyyy-mm-dd, dd/mm/yyyy and dd.mm.yyyy. A null text stays null with an empty map.
+    1900 to 2099, as yyyy-mm-dd (a time may follow), dd.mm.yyyy and dd/mm/yyyy, or mm/dd/yyyy where that is the only
+    reading. Account numbers may stand in groups of four. National phone numbers count with separators only:
+    three, three and four digits, or a leading 0. A null text stays null with an empty map.
     Rows are worked on one by one, so repeated rows come out equal; a column of `docs` named
     `replaced` is dropped. An empty table gives an empty one.
     """

@@ -89,6 +89,26 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pseudonyms.pseudonymize(table(spark, []), "k").count() == 0
 
 
+def test_pseudonyms_of_other_spellings_are_linked(spark):
+    pairs = {"iban": ("GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"), "full": ("AT611904300234573201", "AT61 1904 3002 3457 3201"),
+             "time": ("2001-02-28", "2001-02-28T10:00"), "us": ("25/12/1990", "12/25/1990"), "dots": ("(555) 123-4567", "555.123.4567"),
+             "spaces": ("555-123-4567", "555 123 4567"), "uk": ("020-7946-0958", "020 7946 0958"), "fr": ("06.12.34.56.78", "06 12 34 56 78")}
+    rows = [(i, f"one {a} THE two {b} AND") for i, (a, b) in enumerate(pairs.values())]
+    got = {r.doc_id: r.text for r in pseudonyms.pseudonymize(table(spark, rows), "k").collect()}
+    new = {k: re.fullmatch("one (.*) THE two (.*) AND", got[i]).groups() for i, k in enumerate(pairs)}
+    for k, (a, b) in pairs.items():
+        x, y = new[k]
+        assert x != a and y != b and [c.isdigit() for c in y if k not in ("iban", "full")] == [c.isdigit() for c in b if k not in ("iban", "full")]
+        if k == "us":
+            assert x.split("/") == [y.split("/")[i] for i in (1, 0, 2)] and int(y.split("/")[1]) > 12
+        elif k == "time":
+            assert y == x + "T10:00"
+        else:
+            assert re.sub("[^0-9A-Z]", "", x) == re.sub("[^0-9A-Z]", "", y) and re.sub("[0-9A-Z]", "", y) == re.sub("[0-9A-Z]", "", b)
+    stays = [(50, "GB83 WEST 1234 5698 7654 32, 13/25/1990, 31/31/1990, 2001-02-28Tea, 1.555.123.4567.8")]
+    assert pseudonyms.pseudonymize(table(spark, stays), "k").first().text == stays[0][1]
+
+
 def test_pseudonyms_are_permutations(spark):
     dates = spark.range(0, 73049).select(F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")), "dd.MM.yyyy").alias("t"))
     n = dates.select(pseudonyms.pseudonym(F.col("t"), "k")["value"].alias("v")).agg(F.count("v"), F.countDistinct("v"), F.min(F.substring("v", 7, 4)), F.max(F.substring("v", 7, 4))).first()

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, forest, jaccard, language, licenses, lm, mixture, pseudonyms, quality, secrets
-from .common import documents
+from . import audit, byte_bpe, chat, forest, jaccard, language, licenses, lm, mixture, prefix_trie, pseudonyms, quality, secrets
+from .common import NO_ID, documents
+from .turns import numbered, signature
 
 #: The key of the registered pseudonym query and of the pipeline; a real run brings its own.
 DEMO_KEY = "demonstration key"
@@ -76,6 +77,29 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+#: The conversation that the chat query adds: both of its texts hold marks and escapes.
+PLANTED = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table holds finished messages: each becomes the log of a message that was streamed in pieces."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string"))
+    role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
+    rows = rows.select(F.coalesce(F.col("conv_id"), F.lit(NO_ID)).alias("conv_id"), "turn", role.alias("role"), text.alias("text"),
+                       signature(role, text).alias("sig"))
+    return chat.read_back(chat.format_log(chat.events_of(numbered(rows))))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = prefix_trie.turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.trie(*prefix_trie.with_shared_starts(placed))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_hash_forest": op2_hash_forest,
@@ -87,6 +111,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_score": op10_lm_score,
+    "op11_chat_format": op11_chat_format,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 

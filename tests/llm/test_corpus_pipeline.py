@@ -38,7 +38,7 @@ def test_the_mix_keeps_columns_with_names_of_its_own(spark, sf_dir):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels", "conversations"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     got = queries.queries()[name](spark, sf_dir).toPandas()
     want = con.sql(queries.oracle_sql()[name]).df()

@@ -46,6 +46,27 @@ def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 4_000_000)
             spark.conf.set(key, str(most))
 
 
+def aside(docs: DataFrame, own: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with those columns renamed that have a name of `own`, which an operator uses inside; and old to new names.
+
+    `restored` gives them their names back.
+    """
+    taken = {c.lower() for c in (*docs.columns, *own)}
+    moved: dict[str, str] = {}
+    for c in docs.columns:
+        if c.lower() in {o.lower() for o in own}:
+            new = f"_{c}"
+            while new.lower() in taken:
+                new = f"_{new}"
+            taken.add(new.lower())
+            moved[c] = new
+    return docs.withColumnsRenamed(moved) if moved else docs, moved
+
+
+def restored(result: DataFrame, moved: dict[str, str]) -> DataFrame:
+    return result.withColumnsRenamed({new: c for c, new in moved.items()}) if moved else result
+
+
 def let(value, body):
     """`body(value)` with `value` worked out once per row, however often the body names it."""
     return F.transform(F.array(value), body)[0]

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, bounded_batches, stored
+from .common import NO_ID, aside, bounded_batches, restored, stored
 from .components import components
 from .hashing import joined, mixed, word_hashes
 
@@ -287,9 +287,11 @@ def keep_one(docs: DataFrame, s: Settings = DEFAULT, text: str = "text") -> Data
 
     Texts without words are in no class: of rows with equal doc_id and text one stays.
     """
+    docs, moved = aside(docs, ["_id", "_place"])
+    text = moved.get(text, text)
     prints, classes = near_classes(docs, s, text)
     d = prints.select("id", "place", "set_id").join(classes.select("set_id", "root"), "set_id", "left")
     first = d.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("id", "place")).alias("k"))
     keepers = first.select("k.id", "k.place").union(d.filter(F.col("root").isNull()).select("id", "place")).distinct().toDF("_id", "_place")
     kept = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_place", F.xxhash64(text))
-    return kept.join(keepers, ["_id", "_place"], "left_semi").dropDuplicates(["_id", "_place"]).drop("_id", "_place")
+    return restored(kept.join(keepers, ["_id", "_place"], "left_semi").dropDuplicates(["_id", "_place"]).drop("_id", "_place"), moved)

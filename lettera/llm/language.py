@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored
+from .common import aside, bounded_batches, restored, stored
 
 UNKNOWN = "und"
 _STEPS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -94,17 +94,21 @@ def held_out(doc_id: Column, fold: int = 2, folds: int = 4) -> Column:
 
 
 def training_rows(docs: DataFrame, s: Settings = DEFAULT) -> DataFrame:
-    """(lang, text): about `sample` labelled training texts of each language and no more, chosen by a hash."""
-    able = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    # a hash threshold first, so that no task gets all ids of a language; as many counts as the model has languages
-    sizes = able.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    """(lang, text): about `sample` labelled training texts of each language and no more, chosen by a hash of id and text."""
+    able = docs.select("doc_id", "lang", "text").filter(
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    # drawn by id and text, equal rows once: neither an id of many texts nor a text of many rows can fill or empty a sample
+    able = able.withColumn("row", F.xxhash64("doc_id", "text"))
+    rows = able.select("lang", "row").groupBy("lang", "row").agg(F.count("*").alias("n"))
+    # a hash threshold first, so that no task gets all rows of a language; as many counts as the model has languages
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not sizes:
         return able.select("lang", "text")
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, s.sample / r["n"]))])[F.col("lang")]
-    low = able.select("lang", "doc_id").filter(F.pmod(F.xxhash64("doc_id"), F.lit(2 ** 30)) < share * 2 ** 30)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = low.withColumn("_r", rank).filter(F.col("_r") <= s.sample).select("doc_id").distinct()
-    return able.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
+    low = rows.filter(F.pmod(F.xxhash64("row"), F.lit(2 ** 30)) < share * 2 ** 30)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("row"), "row"))
+    chosen = low.withColumn("rank", rank).filter(F.col("rank") <= s.sample).select("lang", "row")
+    return able.join(F.broadcast(chosen), ["lang", "row"], "left_semi").dropDuplicates(["lang", "row"]).select("lang", "text")
 
 
 def _clusters(v: np.ndarray, s: Settings) -> np.ndarray:
@@ -173,6 +177,8 @@ def predict(docs: DataFrame, model: Model, s: Settings = DEFAULT, text: str = "t
     if nothing was learned. Equal cosines go to the first language by name. Only the text is read, so
     repeated rows get equal results. Columns of `docs` with these names are replaced.
     """
+    docs, moved = aside(docs, ["_found"])
+    text = moved.get(text, text)
     bounded_batches(docs.sparkSession)
     languages, shared = model.languages, docs.sparkSession.sparkContext.broadcast((model.centroids, model.idf, model.floors))
 
@@ -194,7 +200,7 @@ def predict(docs: DataFrame, model: Model, s: Settings = DEFAULT, text: str = "t
     new = ["lang_pred", "lang_score", "lang_rejected"]
     names = [c for c in docs.columns if c not in new]
     d = docs.select(*names, nearest(F.col(text)).alias("_found"))
-    return d.select(*names, *[F.col(f"_found.{f}").alias(n) for f, n in zip(("lang", "score", "rejected"), new)])
+    return restored(d.select(*names, *[F.col(f"_found.{f}").alias(n) for f, n in zip(("lang", "score", "rejected"), new)]), moved)
 
 
 def identify(docs: DataFrame, s: Settings = DEFAULT) -> DataFrame:

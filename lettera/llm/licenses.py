@@ -14,7 +14,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, aside, restored, stored
 
 #: Standard short notices by licence identifier.
 TEMPLATES = (
@@ -46,7 +46,8 @@ TEXTS = Path(__file__).with_name("license_texts")
 #: Words that mark a passage as one to compare.
 ANCHOR = (r"(?i)(licen[cs]e|spdx-|public domain|creative commons|free software|permission (is hereby|to use)|"
           r"redistribution and use|\bcc[ -](by|0)|copyright)")
-TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: Possessive: nothing is ever given back, and Java follows the group in a loop instead of by recursion.
+TOKEN = r"[a-z0-9]++(?:[.-][a-z0-9]++)*+"
 
 
 def full_texts() -> tuple[tuple[str, str], ...]:
@@ -145,6 +146,8 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", least: float
     directory, so it neither gives nor inherits. Repeated rows get equal results. Columns of `files` with
     these names are replaced. An empty table gives an empty one.
     """
+    files, moved = aside(files, ["_key", "_dir", "_n", "_given", "_from", "_own", "_score"])
+    path, text = moved.get(path, path), moved.get(text, text)
     own = ["license", "license_score", "license_origin", "license_from"]
     names = [c for c in files.columns if c not in own]
     key = F.xxhash64(F.coalesce(F.col(path), F.lit("\n")), F.col(text))
@@ -158,6 +161,6 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", least: float
     given = inherit(lean.filter(F.col("dir").isNotNull())).withColumnsRenamed({"license": "_given", "dir": "_dir", "source_dir": "_from"})
     result = d.drop("_n").join(best.select(F.col("key").alias("_key"), F.col("license").alias("_own"), F.col("score").alias("_score")), "_key", "left")
     result = result.join(given, "_dir", "left")
-    return result.select(*names, F.coalesce("_own", "_given").alias("license"), F.col("_score").alias("license_score"),
-                         F.when(F.col("_own").isNotNull(), "own").when(F.col("_given").isNotNull(), "inherited").alias("license_origin"),
-                         F.when(F.col("_own").isNull(), F.col("_from")).alias("license_from"))
+    return restored(result.select(*names, F.coalesce("_own", "_given").alias("license"), F.col("_score").alias("license_score"),
+                                  F.when(F.col("_own").isNotNull(), "own").when(F.col("_given").isNotNull(), "inherited").alias("license_origin"),
+                                  F.when(F.col("_own").isNull(), F.col("_from")).alias("license_from")), moved)

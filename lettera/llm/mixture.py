@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, positions, stored
+from .common import WORD, aside, positions, restored, stored
 
 #: Parts that the order of a source is cut into, by the first hex digits of the order key.
 PARTS_HEX = 3
@@ -53,6 +53,10 @@ def order_key(seed: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
 
 
+#: Columns that `_mixed` works with beside the caller's.
+_OWN = ["_size", "_source", "_key", "_part", "_before", "_inside", "_rate", "_source_size", "_target", "_repeats", "_copy", "_given"]
+
+
 def _mixed(docs: DataFrame, cycle: tuple[int, ...], epochs: float, seed: str, size: str | None) -> DataFrame:
     """`docs` with _size, _source_size, _target and _repeats."""
     names = [c for c in docs.columns if c != "_given"]
@@ -69,7 +73,9 @@ def _mixed(docs: DataFrame, cycle: tuple[int, ...], epochs: float, seed: str, si
     parts = parts.drop("_n").join(fill.select(_not_null("source").alias("_source"), F.col("source_size").alias("_source_size"),
                                               F.col("target").alias("_target"), "_rate"), "_source")
     d = keys(lean if set(names) <= {"doc_id", "source"} else d)
-    inside = F.sum("_size").over(Window.partitionBy("_source", "_part").orderBy("_key", "_size")
+    # rows of one id and size are told apart by their text, as far as it is there, so that reruns take the same
+    tie = [F.xxhash64("text")] if "text" in d.columns else []
+    inside = F.sum("_size").over(Window.partitionBy("_source", "_part").orderBy("_key", "_size", *tie)
                                  .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(parts, ["_source", "_part"], "left")
     whole = F.floor("_rate")
@@ -95,8 +101,11 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), epochs: float = 3.0
     """
     own = ["size", "source_size", "target", "repeats"]
     names = [c for c in docs.columns if c not in own]
-    d = _mixed(docs.select(*names, *([F.col(size).alias("_given")] if size else [])), cycle, epochs, seed, size and "_given")
-    return d.select(*names, *[F.col(f"_{c}").alias(c) for c in own])
+    given = docs.select(*names, *([F.col(size).alias("_given ")] if size else []))
+    given, moved = aside(given, _OWN)
+    names = [moved.get(c, c) for c in names]
+    d = _mixed(given.withColumnRenamed("_given ", "_given"), cycle, epochs, seed, size and "_given")
+    return restored(d.select(*names, *[F.col(f"_{c}").alias(c) for c in own]), moved)
 
 
 def repeated(mixed: DataFrame, columns: list[str], repeats: str = "repeats") -> DataFrame:
@@ -107,4 +116,5 @@ def repeated(mixed: DataFrame, columns: list[str], repeats: str = "repeats") ->
 
 def take(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), epochs: float = 3.0, seed: str = "mix") -> DataFrame:
     """Each row of `docs`, with all its columns as they are, as often as the mix by words takes it."""
-    return repeated(_mixed(docs, cycle, epochs, seed, None), docs.columns, "_repeats")
+    docs, moved = aside(docs, _OWN)
+    return restored(repeated(_mixed(docs, cycle, epochs, seed, None), docs.columns, "_repeats"), moved)

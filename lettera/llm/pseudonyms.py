@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import aside, let, restored
 
 #: An even number of rounds, so both halves are mixed equally often.
 ROUNDS = 10
@@ -27,9 +27,10 @@ _GROUPED = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n
                     for n, c in IBAN_SIZES.items())
 _NATIONAL = "|".join(rf"[0-9]{{3}}{x}[0-9]{{3}}{x}[0-9]{{4}}|0[0-9]{x}[0-9]{{2}}{x}[0-9]{{2}}{x}[0-9]{{2}}{x}[0-9]{{2}}"
                      rf"|0[0-9]{{2,4}}{x}[0-9]{{3,4}}{x}[0-9]{{3,4}}" for x in (" ", r"\.", "-")) + r"|0[0-9]{2,4} [0-9]{6,8}"
-#: Formats in the order in which they are tried at a place of the text.
+#: Formats in the order in which they are tried at a place of the text. Java follows a repeated group by recursion, so each has a
+#: bound; that of a domain is its largest number of labels, of 63 characters each.
 FORMATS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,}",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "iban": rf"{_FREE}[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}{_SHUT}|{_FREE}(?:{_GROUPED}){_SHUT}",
     "date": rf"{_FREE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}})(?!(?!T[0-9])[0-9A-Za-z])",
@@ -83,8 +84,11 @@ def feistel_digits(digits: Column, tweak: Column, key: str) -> Column:
 def feistel_text(value: Column, tweak: Column, key: str) -> Column:
     """A permutation of the strings of one pattern: each letter or digit moves within its own class."""
     def shifted(text, seed):
+        return let(seed, lambda known: moved(text, known))
+
+    def moved(text, known):
         def move(c, i):
-            k, code = F.xxhash64(seed, i), F.ascii(c)
+            k, code = F.xxhash64(known, i), F.ascii(c)
             turn = lambda low, size: F.char(low + F.pmod(code - low + F.pmod(k, F.lit(size)), F.lit(size)))
             return (F.when(c.between("a", "z"), turn(97, 26)).when(c.between("A", "Z"), turn(65, 26))
                     .when(c.between("0", "9"), turn(48, 10)).otherwise(c))
@@ -248,6 +252,8 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     Rows are worked on one by one, so repeated rows come out equal; a column of `docs` named
     `replaced` is dropped. An empty table gives an empty one.
     """
+    docs, moved = aside(docs, ["_text", "_found", "_new"])
+    text = moved.get(text, text)
     t = F.col(text)
     places = [f for f in docs.columns if f != "replaced"]
     found = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(ANY_FORMAT), F.lit(0))).otherwise(F.array().cast("array<string>"))
@@ -262,4 +268,4 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     done = F.filter("_new", lambda n: n["value"].isNotNull())
     counts = let(done, lambda n: F.map_from_entries(F.transform(F.array_distinct(F.transform(n, lambda x: x["kind"])), lambda k: F.struct(
         k, F.size(F.filter(n, lambda x: x["kind"] == k))))))
-    return d.select(*[F.col("_text").alias(text) if c == text else F.col(c) for c in places], counts.alias("replaced"))
+    return restored(d.select(*[F.col("_text").alias(text) if c == text else F.col(c) for c in places], counts.alias("replaced")), moved)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, let
+from .common import WORD, aside, let, restored
 
 #: Fixed values of the base signals.
 SYMBOLS = "#*$%&|<>"
@@ -108,8 +108,10 @@ def judge(docs: DataFrame, rules: LineRules = DEFAULT, text: str = "text") -> Da
     has a null clean_text; an empty or blank one fails too. Rows are judged one by one, so repeated
     rows get equal verdicts, and an empty table gives an empty one.
     """
-    raw = F.coalesce(F.col(text), F.lit(""))
     own = ["_text", "_words", "_lines", "_clean"]
+    docs, moved = aside(docs, own)
+    text = moved.get(text, text)
+    raw = F.coalesce(F.col(text), F.lit(""))
     d = docs.withColumn("_text", raw)
     d = d.withColumn("_words", _words(F.col("_text"))).withColumn("_lines", F.split(F.col("_text"), "\n"))
     d = d.withColumn("_clean", clean_lines(F.col("_lines"), rules))
@@ -128,4 +130,4 @@ def judge(docs: DataFrame, rules: LineRules = DEFAULT, text: str = "text") -> Da
                                           F.coalesce(_visible(F.col("clean_text")), F.lit(0)) / F.col("word_chars"))
                      .otherwise(0.0)))
     d = d.withColumn("kept", ~F.col("base_failed") & (F.col("kept_share") >= rules.least_kept))
-    return d.drop(*own)
+    return restored(d.drop(*own), moved)

@@ -12,25 +12,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, stored
+from .common import aside, let, restored, stored
 from .trigrams import trigram_query
 
 
 @dataclass(frozen=True)
 class Rule:
-    """An expression for a kind of secret; a match counts if `group` has `least` characters or more."""
+    """An expression for a kind of secret; a match counts if `group` has `least` characters or more.
+
+    `long` is an expression, where there is one, whose matches are exactly those that count: it finds them without
+    walking through all the others.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
+    long: str | None = None
 
 
 #: The three base kinds, in the order in which equal starts are listed.
 BASE = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20, r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24,}"),
 )
 #: Formats of well-known services.
 MORE = (
@@ -67,29 +72,48 @@ def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return hits.filter(F.size("c") == goal[F.col("kind")]).groupBy("key").agg(F.collect_set("kind").alias("kinds"))
 
 
+#: Matches whose places are summed one by one; longer lists are cut into runs of so many, which are summed first.
+RUN = 256
+
+
+def _before(sizes: Column) -> Column:
+    """For each of an array of numbers the sum of those before it, with two levels of sums: appending copies an array."""
+    def walk(run, start):
+        return F.aggregate(run, F.struct(start.alias("at"), F.array().cast("array<bigint>").alias("out")), lambda a, n: F.struct(
+            (a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))["out"]
+
+    def joined(runs):
+        totals = F.transform(runs, lambda r: F.aggregate(r, F.lit(0).cast("bigint"), lambda a, n: a + n))
+        return F.flatten(F.zip_with(runs, walk(totals, F.lit(0).cast("bigint")), walk))
+
+    def cut(all_):
+        places = F.sequence(F.lit(0), F.call_function("div", F.size(all_) - 1, F.lit(RUN)).cast("int"))
+        return let(F.transform(places, lambda k: F.slice(all_, k * RUN + 1, RUN)), joined)
+
+    return let(sizes, cut)
+
+
 def spans(text: Column, rule: Rule, place: int) -> Column:
     """Matches of one rule, leftmost and not overlapping: array of (start, place, kind, stop) in code points."""
+    pattern = rule.long or rule.pattern
+
     def located(found):
-        gaps = F.split(text, rule.pattern, -1)
-        if rule.group:
-            sizes = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), F.char_length)
-        else:
-            sizes = F.transform(found, F.char_length)
-        pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), F.zip_with(found, sizes, lambda m, n: F.struct(
-            F.char_length(m).alias("n"), n.alias("g"))), lambda a, b: F.struct(
-                F.char_length(a).alias("gap"), b["n"].alias("n"), b["g"].alias("g")))
-        none = F.array().cast("array<struct<start:int,place:int,kind:string,stop:int,ok:boolean>>")
-        walked = F.aggregate(
-            pairs, F.struct(F.lit(0).alias("at"), none.alias("out")),
-            lambda a, p: F.struct((a["at"] + p["gap"] + p["n"]).alias("at"), F.concat(a["out"], F.array(F.struct(
-                (a["at"] + p["gap"]).alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"),
-                (a["at"] + p["gap"] + p["n"]).alias("stop"), (p["g"] >= rule.least).alias("ok")))).alias("out")))
-        kept = F.filter(walked["out"], lambda x: x["ok"])
-        return F.transform(kept, lambda x: F.struct(x["start"], x["place"], x["kind"], x["stop"]))
+        gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(found)), lambda x: F.char_length(x).cast("bigint"))
+        sizes = F.transform(found, lambda x: F.char_length(x).cast("bigint"))
+        held = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)), F.char_length) if rule.group else sizes
+
+        def marked(both):
+            starts = F.zip_with(_before(F.zip_with(both["gaps"], both["sizes"], lambda g, n: g + n)), both["gaps"], lambda b, g: (b + g).cast("int"))
+            every = F.zip_with(starts, F.zip_with(both["sizes"], both["held"], lambda n, h: F.struct(n.alias("n"), h.alias("h"))), lambda at, x: F.when(
+                x["h"] >= rule.least, F.struct(at.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"),
+                                               (at + x["n"].cast("int")).alias("stop"))))
+            return F.filter(every, lambda x: x.isNotNull())
+
+        return let(F.struct(gaps.alias("gaps"), sizes.alias("sizes"), held.alias("held")), marked)
 
     nothing = F.array().cast("array<struct<start:int,place:int,kind:string,stop:int>>")
     # a text without a match that is long enough needs no places
-    return let(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), lambda m: F.when(
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(
         F.exists(m, lambda x: F.char_length(x) >= rule.least), located(m)).otherwise(nothing))
 
 
@@ -105,6 +129,8 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") ->
     others; repeated rows get equal results; an empty table gives an empty one. A column of `docs`
     named `found` is replaced.
     """
+    docs, moved = aside(docs, ["_kinds", "_key", "_low"])
+    text = moved.get(text, text)
     names = [c for c in docs.columns if c != "found"]
     asked = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = [r for r in rules if asked[r.kind]]
@@ -121,4 +147,4 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") ->
     for place, rule in enumerate(rules):
         every = spans(whole, rule, place)
         parts.append(F.when(F.array_contains("_kinds", rule.kind), every).otherwise(none) if rule in indexed else every)
-    return d.select(*names, F.array_sort(F.concat(*parts)).alias("found"))
+    return restored(d.select(*names, F.array_sort(F.concat(*parts)).alias("found")), moved)

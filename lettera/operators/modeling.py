@@ -8,18 +8,19 @@ from __future__ import annotations
 
 import itertools
 import json
-import math
 import random
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, RandomForestClassifier)
+from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel,
+                                       RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import with_totals
+from .boosting import Leafwise, LeafwiseModel, Params, score_many
 from .metrics import measure, summarize_folds
 from .ordering import BEFORE, cumulate, quantiles, value_counts
 from .prepare import Design, Preparation, to_long
@@ -37,23 +38,28 @@ SPACES = {
     FOREST: ({"n_estimators": [200, 400], "max_depth": [None, 8, 12, 20],
               "min_samples_leaf": [2, 5, 10, 20, 50], "max_features": ["sqrt", 0.3, 0.5]}, 12),
 }
+# The grain of networks has fewer rows: fewer draws, and no leaves of 200 (fixed values).
+NETWORK_SPACES = {
+    LOGISTIC: SPACES[LOGISTIC],
+    BOOSTING: (SPACES[BOOSTING][0] | {"min_samples_leaf": [10, 20, 50, 100]}, 12),
+    FOREST: (SPACES[FOREST][0], 10),
+}
 INSTRUMENT = {"min_samples_leaf": 10, "max_leaf_nodes": 15, "max_iter": 200, "learning_rate": 0.02,
               "l2_regularization": 0.1}
 DEEPEST = 30          # Spark's limit on tree depth, used for "no limit"
 
 
 def estimator(family: str, params: dict, rows: int, seed: int):
-    """Spark ML estimator of a family. C weighs the summed loss, Spark's penalty the mean loss,
-    hence 1 / (C * rows) with weights of mean 1. Boosting has no leaf penalty in Spark: the
-    value is kept in the recipe and not used."""
+    """The estimator of a family. C weighs the summed loss, Spark's penalty the mean loss, hence 1 / (C * rows) with weights
+    of mean 1. Boosting is `boosting.Leafwise`; it draws nothing, so it needs no seed."""
     common = dict(featuresCol="features", labelCol="y", weightCol="w")
     if family == LOGISTIC:
         return LogisticRegression(**common, regParam=1.0 / (params.get("C", 1.0) * rows),
                                   standardization=False, maxIter=params.get("max_iter", 3000), tol=1e-6)
     if family == BOOSTING:
-        return GBTClassifier(**common, stepSize=params["learning_rate"], maxIter=params["max_iter"],
-                             maxDepth=max(1, math.ceil(math.log2(params["max_leaf_nodes"]))),
-                             minInstancesPerNode=params["min_samples_leaf"], seed=seed)
+        return Leafwise(Params(**params))
+    if family != FOREST:
+        raise ValueError(f"unknown family: {family}")
     return RandomForestClassifier(**common, numTrees=params["n_estimators"],
                                   maxDepth=params["max_depth"] or DEEPEST,
                                   minInstancesPerNode=params["min_samples_leaf"],
@@ -62,10 +68,25 @@ def estimator(family: str, params: dict, rows: int, seed: int):
 
 def score(model, df: DataFrame, name: str = "p") -> DataFrame:
     """Add the probability of the response 1; drops the model's own columns."""
+    if isinstance(model, LeafwiseModel):
+        return model.score(df, name)
     return model.transform(df).withColumn(name, vector_to_array("probability")[1]) \
         .drop("rawPrediction", "probability", "prediction")
 
 
+def save_model(model, spark: SparkSession, path: str) -> None:
+    if isinstance(model, LeafwiseModel):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(family: str, spark: SparkSession, path: str):
+    if family == BOOSTING:
+        return LeafwiseModel.load(spark, path)
+    return (LogisticRegressionModel if family == LOGISTIC else RandomForestClassificationModel).load(path)
+
+
 def mean_one(df: DataFrame, weight: str, by: Sequence[str] = ()) -> DataFrame:
     """Weights scaled to mean 1, per value of `by` (one row each) or over all rows."""
     mean = df.groupBy(*by).agg(F.avg(weight).alias("__mean"))
@@ -143,6 +164,10 @@ class Folds:
 def scored_parts(folds: Folds, family: str, params: dict, tags: dict,
                  variables: Sequence[str] | None = None, pool: ThreadPoolExecutor | None = None) -> DataFrame:
     """Every row scored by the model that did not see its group; `tags` become columns."""
+    if family == BOOSTING:
+        found = boosted_parts(folds, Params(**params), {"": variables}).drop("configuracao")
+        return found.select(*[F.lit(v).alias(n) for n, v in tags.items()], "parte", "y", "w", "p")
+
     def one(k: int) -> DataFrame:
         model = estimator(family, params, folds.sizes[k], folds.seed).fit(folds.part(k, True, variables))
         return score(model, folds.part(k, False, variables)).select(
@@ -156,6 +181,26 @@ def scored_parts(folds: Folds, family: str, params: dict, tags: dict,
     return out
 
 
+def boosted_parts(folds: Folds, params: Params, sets: dict[str, Sequence[str] | None]) -> DataFrame:
+    """(configuracao, parte, y, w, p): every row scored by the boosted model of its part, for each set of variables. All
+    fits of all sets grow side by side."""
+    names = folds.preparation.columns()
+    place = {c: i for i, c in enumerate(names)}
+    rows = folds.preparation.assemble(folds.table).select("parte", "treina", "features", "y", F.col("w"), "peso_linha")
+    tagged = rows.withColumn("configuracao", F.explode(F.array(*map(F.lit, sets)))).withColumn(
+        "fit", F.concat_ws("/", "configuracao", F.col("parte").cast("string")))
+    only = {f"{s}/{k}": [place[c] for c in folds.preparation.columns(vs)] for s, vs in sets.items() for k in range(folds.n)}
+    models = Leafwise(params).fit_many(tagged.where("treina"), only)
+    return score_many(tagged.where("not treina"), models).select("configuracao", "parte", "y", F.col("peso_linha").alias("w"), "p")
+
+
+def compare_variables(folds: Folds, params: Params, sets: dict[str, Sequence[str]]) -> DataFrame:
+    """One row per set of variables and part with AUC, log-loss and Brier of the boosted model."""
+    per = measure(boosted_parts(folds, params, sets), ["configuracao", "parte"])
+    sizes = per.sparkSession.createDataFrame([(s, len(vs)) for s, vs in sets.items()], "configuracao string, variaveis int")
+    return per.join(F.broadcast(sizes), "configuracao")
+
+
 def cross_validate(folds: Folds, family: str, params: dict, tags: dict,
                    variables: Sequence[str] | None = None) -> DataFrame:
     """One row per part with AUC, log-loss and Brier."""
@@ -191,20 +236,22 @@ def search(folds_of: dict[bool, Folds], spaces: dict = SPACES, seed: int = 42, p
 
 # -- reading a model ---------------------------------------------------------------------------
 def shuffled_blocks(df: DataFrame, key: str, blocks: dict[str, Sequence[str]], repeats: int,
-                    seed: int) -> DataFrame:
+                    seed: int, within: Sequence[str] = ()) -> DataFrame:
     """Rows once per block and repeat, with the block's columns taken from another row.
 
     A repeat is one seeded hash order of the rows; each row borrows from the row ahead of it.
-    The order is built bucket by bucket, and one equi-join serves all blocks of a repeat.
+    The order is built bucket by bucket, and one equi-join serves all blocks of a repeat. Rows
+    borrow from rows with equal values of `within`.
     """
+    part = ["repeticao", *within]
     columns = sorted({c for cs in blocks.values() for c in cs})
     r = df.withColumn("repeticao", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     h = F.md5(F.concat(F.col(key), F.lit(f"|{seed}|"), F.col("repeticao").cast("string")))
     r = r.withColumn("__h", h).withColumn("__one", F.lit(1).cast("bigint"))
-    r = cumulate(r, "__one", [F.substring("__h", 1, 3)], [F.col("__h"), F.col(key)], ["repeticao"])
-    donor = r.select("repeticao", ((F.col(BEFORE) + 1) % F.col("cum_total")).alias(BEFORE),
+    r = cumulate(r, "__one", [F.substring("__h", 1, 3)], [F.col("__h"), F.col(key)], part)
+    donor = r.select(*part, ((F.col(BEFORE) + 1) % F.col("cum_total")).alias(BEFORE),
                      *[F.col(c).alias(f"__d_{c}") for c in columns])
-    both = r.join(donor, ["repeticao", BEFORE])
+    both = r.join(donor, [*part, BEFORE])
     names = F.array(*[F.struct(F.lit(b).alias("bloco"), F.array(*map(F.lit, cs)).alias("__cols"))
                       for b, cs in blocks.items()])
     long = both.select("*", F.inline(names))
@@ -311,66 +358,3 @@ def factor_table(effects: DataFrame, factors: dict[str, tuple], order: dict[str,
             .withColumn("confere", verdict)
             .orderBy("ordem", F.abs("efeito_pp").desc(), "variavel")
             .select("variavel", "nome", "quem", "sinal", "baixo", "alto", "efeito_pp", "regioes", "confere"))
-
-
-# -- selection by stability --------------------------------------------------------------------
-def stability_selection(train: DataFrame, design: Design, candidates: Sequence[str], path: str,
-                        seed: int, rounds: int = 5, minimum: int = 4, folds: int = 5, repeats: int = 2,
-                        params: dict = INSTRUMENT) -> tuple[list[str], list[tuple]]:
-    """Backward elimination in several rounds with different folds.
-
-    In each step the variable whose shuffling costs least log-loss leaves. A round keeps the set
-    with the smallest log-loss; a variable stays that is in at least `minimum` of these sets.
-    Rows are prepared once per round; a step fits one model per part, side by side, and measures
-    all shuffles of all parts in one job.
-    """
-    chosen: dict[int, list[str]] = {}
-    left_at: dict[str, list[int]] = {v: [] for v in candidates}
-    sub = design.only(candidates)
-    for r in range(rounds):
-        fold = Folds(train, sub, False, f"{path}/rodada{r + 1}", seed + r, folds)
-        now, curve = list(candidates), []
-        while now:
-            losses = _elimination_step(fold, now, params, repeats, seed + r)
-            base = losses.pop("")
-            out = min(now, key=lambda v: (losses[v] - base, now.index(v)))
-            curve.append((base, len(now), list(now)))
-            left_at[out].append(len(now))
-            now.remove(out)
-        chosen[r + 1] = min(curve, key=lambda c: (c[0], c[1]))[2]
-    frequency = {v: sum(v in s for s in chosen.values()) for v in candidates}
-    survival = {v: sum(n) / len(n) for v, n in left_at.items()}
-    selected = [v for v in sorted(candidates, key=lambda v: survival[v]) if frequency[v] >= minimum]
-    rows = [(v, "B", "fica" if v in selected else "sai",
-             "" if v in selected else f"pouco estável: fica em menos de {minimum} das {rounds} rodadas",
-             f"{frequency[v]} de {rounds} rodadas", float(survival[v])) for v in candidates]
-    return selected, rows
-
-
-STABILITY_SCHEMA = ("variavel string, etapa string, situacao string, motivo string, numero string, "
-                    "sobrevivencia double")
-
-
-def _elimination_step(fold: Folds, variables: list[str], params: dict, repeats: int,
-                      seed: int) -> dict[str, float]:
-    """Mean log-loss over the parts: with nothing shuffled (key ''), and per shuffled variable."""
-    lineage = fold.preparation.lineage
-    columns = {v: lineage[v] for v in variables}
-
-    def one(k: int) -> DataFrame:
-        model = estimator(BOOSTING, params, fold.sizes[k], seed).fit(fold.part(k, True, variables))
-        rows = fold.table.where((F.col("parte") == k) & ~F.col("treina"))
-        plain = rows.withColumn("bloco", F.lit("")).withColumn("repeticao", F.lit(0))
-        mixed = shuffled_blocks(rows, "linha", columns, repeats, seed)
-        both = plain.unionByName(mixed)
-        return score(model, fold.preparation.assemble(both, variables)).select(
-            "bloco", "repeticao", "parte", "y", F.lit(1.0).alias("w"), "p")
-
-    with ThreadPoolExecutor(fold.n) as pool:
-        parts = list(pool.map(one, range(fold.n)))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    losses = measure(every, ["bloco", "repeticao", "parte"]).groupBy("bloco").agg(
-        F.avg("log_loss").alias("m"))
-    return {row.bloco: row.m for row in losses.collect()}

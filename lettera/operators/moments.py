@@ -87,18 +87,3 @@ def response_moments(df: DataFrame, columns: Sequence[str], target: str, weight:
     one = df.agg(F.array(*aggs).alias("all"))
     d = one.select(F.explode("all").alias("m")).select("m.*").where("n > 0")
     return d.select("variavel", correlation_of().alias("correlacao"))
-
-
-def vif_from_correlation(matrix: np.ndarray, singular: float = 1e-9) -> np.ndarray:
-    """Inflation factors: the diagonal of the inverse; infinite where a column is a
-    combination of the others (1 - R2 below `singular`)."""
-    m = np.nan_to_num(matrix, nan=0.0)
-    np.fill_diagonal(m, 1.0)
-    values, vectors = np.linalg.eigh((m + m.T) / 2)
-    exact = values < max(singular, len(m) * 1e-12)
-    inverse = (vectors[:, ~exact] / values[~exact]) @ vectors[:, ~exact].T
-    out = np.maximum(np.diag(inverse), 1.0)
-    # a column with weight in a null direction is explained in full by the others
-    involved = (vectors[:, exact] ** 2).sum(axis=1) > 1e-8
-    out = np.where(involved, np.inf, out)
-    return np.where(out >= 1 / singular, np.inf, out)

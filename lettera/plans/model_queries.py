@@ -1,34 +1,34 @@
 """Model fits, evaluation and reading of a model as registered queries.
 
-Grids and trees are small here so that a check takes seconds; the functions take the full
-search spaces of `operators.modeling`.
+Fits, folds, rounds and repeats are those of a full run, but for the forest (fewer trees) and the search (few draws), so that
+a check takes minutes; the functions take the full search spaces of `operators.modeling`.
 """
 from __future__ import annotations
 
 import json
 
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import with_totals
-from ..functions.metadata import (FACTOR_ORDER, FACTORS, HYPOTHESIS_OF, INDICATORS, STARTING_POINT,
+from ..functions.metadata import (FACTOR_ORDER, FACTORS, HYPOTHESIS_OF, INDICATORS, NUMERIC, STARTING_POINT,
                                   TERRITORY)
-from ..operators import guards, metrics, modeling
+from ..operators import guards, metrics, modeling, stability
 from ..operators.modeling import BOOSTING, FOREST, LOGISTIC, Folds
 from ..operators.prepare import Design, Preparation, weighted_groups
+from ..operators.recipes import Recipe, replayed
 from ..sources import lake
-from .profile_queries import decision_list, rounded
+from .profile_queries import decision_list, rounded, screened
 from .report_queries import fold_rows
 
 NUMERIC_MODEL = ["uf_rede_taxa_ant", "rede_taxa_ant", "mun_participacao_ant", *FACTORS]
 DESIGN = Design(NUMERIC_MODEL, list(TERRITORY),
                 {n: v for n, v in INDICATORS.items() if v in NUMERIC_MODEL},
                 ["mun_populacao"])
-FOREST_PARAMS = {"n_estimators": 20, "min_samples_leaf": 5, "max_features": 0.3, "max_depth": 6}
-BOOSTING_PARAMS = {"learning_rate": 0.1, "max_iter": 5, "max_leaf_nodes": 7, "min_samples_leaf": 10}
+FOREST_PARAMS = {"n_estimators": 100, "min_samples_leaf": 5, "max_features": 0.3, "max_depth": 12}
+BOOSTING_PARAMS = modeling.INSTRUMENT
 LOGISTIC_PARAMS = {"C": 0.1668, "max_iter": 100}
-REPEATS = 3
+REPEATS = 10
 
 
 def part(ws, *names) -> DataFrame:
@@ -55,7 +55,7 @@ def final_model(ws):
 
 def unit_folds(ws, linear: bool) -> Folds:
     return once(ws, f"partes{linear}", lambda: Folds(
-        part(ws, "treino"), DESIGN, linear, folder(ws, f"partes_{linear}"), ws.cycle.seed, 3))
+        part(ws, "treino"), DESIGN, linear, folder(ws, f"partes_{linear}"), ws.cycle.seed, ws.cycle.folds))
 
 
 def importances(ws, fitted) -> DataFrame:
@@ -106,8 +106,8 @@ def cross_validate(ws):
 
 SMALL_SPACES = {
     LOGISTIC: ({"C": [0.01, 1.0], "max_iter": [50]}, 2),
-    BOOSTING: ({"learning_rate": [0.1, 0.2], "max_iter": [3], "max_leaf_nodes": [7],
-                "min_samples_leaf": [10]}, 1),
+    BOOSTING: ({"learning_rate": [0.1, 0.2], "max_iter": [50], "max_leaf_nodes": [7],
+                "min_samples_leaf": [10], "l2_regularization": [0.0, 10.0]}, 2),
     FOREST: ({"n_estimators": [10], "max_depth": [4, None], "min_samples_leaf": [5],
               "max_features": ["sqrt", 0.3]}, 1),
 }
@@ -232,11 +232,7 @@ def ablation(ws):
     the inertial base or taken out of the whole; differences are paired by fold."""
     folds = unit_folds(ws, False)
     sets, shown = ablation_sets(DESIGN.variables)
-    per = None
-    for name, vs in sets.items():
-        one = modeling.cross_validate(folds, BOOSTING, BOOSTING_PARAMS,
-                                      {"configuracao": name, "variaveis": len(vs)}, vs)
-        per = one if per is None else per.unionByName(one)
+    per = modeling.compare_variables(folds, modeling.Params(**BOOSTING_PARAMS), sets)
     path = folder(ws, "blocos")
     per.write.mode("overwrite").parquet(path)
     per = ws.spark.read.parquet(path)
@@ -308,11 +304,11 @@ def permutation_blocks(ws):
 
 
 def stability_selection(ws):
-    candidates = ["rede_taxa_ant", "mun_populacao", "nome_regiao"]
-    _, rows = modeling.stability_selection(
-        part(ws, "treino"), DESIGN, candidates, folder(ws, "estabilidade"), ws.cycle.seed,
-        rounds=2, minimum=2, folds=2, params=BOOSTING_PARAMS)
-    return ws.spark.createDataFrame(rows, modeling.STABILITY_SCHEMA)
+    """All numeric variables that the screening leaves, and the network, in five rounds of five folds."""
+    candidates = [*screened(ws)[0], "rede_nome"]
+    design = Design(list(NUMERIC), ["rede_nome"], dict(INDICATORS), [])
+    losses = stability.eliminate(part(ws, "treino"), design, candidates, folder(ws, "estabilidade"), ws.cycle.seed)
+    return rounded(stability.verdicts(losses, 4))
 
 
 # -- registers and guards ----------------------------------------------------------------------
@@ -326,36 +322,40 @@ def control_table(ws):
     return ws.spark.createDataFrame(rows, "lista string, variaveis int, nomes string")
 
 
+def recipe(ws) -> Recipe:
+    """The chosen recipe with what was measured in cross validation, on validation and on test; written once."""
+    def build():
+        plain = Recipe(FOREST, FOREST_PARAMS, DESIGN, ws.cycle.seed)
+        folds = metrics.summarize_folds(modeling.cross_validate(unit_folds(ws, False), FOREST, FOREST_PARAMS, {"familia": FOREST}),
+                                        ["familia"]).first()
+        names = ("auc", "log_loss", "brier")
+        valid = measure_on(plain.refit(part(ws, "treino"), folder(ws, "receita_treino")), part(ws, "validacao")).first()
+        test = measure_on(final_model(ws), part(ws, "teste")).first()
+        out = plain.measured(folds={k: folds[k] for k in (*names, "auc_desvio", "log_loss_desvio")},
+                             validation={k: valid[k] for k in names}, test={k: test[k] for k in names})
+        out.write(ws.spark, folder(ws, "registro"))
+        return out
+
+    return once(ws, "receita", build)
+
+
 def model_register(ws):
-    """Recipe, preparation and model written, read back, and the read-back model measured."""
-    fitted, test = final_model(ws), part(ws, "teste")
-    path = folder(ws, "registro")
-    measured = measure_test(fitted, test).first()
-    lake.write_register(ws.spark, f"{path}/receita", {
-        "familia": FOREST, "parametros": {k: float(v) for k, v in FOREST_PARAMS.items()},
-        "parametros_texto": json.dumps(FOREST_PARAMS, sort_keys=True),
-        "criterio": "menor log-loss na validação cruzada", "semente": ws.cycle.seed,
-        "metricas": {k: round(measured[k], 5) for k in ("auc", "log_loss", "brier")},
-        "variaveis": DESIGN.variables})
-    fitted.preparation.save(f"{path}/preparo")
-    fitted.model.write().overwrite().save(f"{path}/modelo")
-    return lake.read_register(ws.spark, f"{path}/receita").withColumn("pasta", F.lit(path))
-
-
-def measure_test(fitted, test: DataFrame) -> DataFrame:
+    """Recipe and measures, written as text and read back."""
+    recipe(ws)
+    return lake.read_register(ws.spark, folder(ws, "registro"))
+
+
+def measure_on(fitted, test: DataFrame) -> DataFrame:
     return metrics.measure(fitted.score(test).select(F.col("bateu_meta").alias("y"),
                                                      F.lit(1).alias("w"), "p"))
 
 
-def check_replay(ws, tolerance: float = 1e-4):
-    """The stored model must give the registered AUC again."""
-    register = model_register(ws).first()
-    prep = Preparation.load(ws.spark, f"{register.pasta}/preparo")
-    model = RandomForestClassificationModel.load(f"{register.pasta}/modelo")
-    again = measure_test(modeling.Fitted(prep, model, register.variaveis), part(ws, "teste"))
-    kept = float(register.metricas["auc"])
-    return again.select(F.lit(kept).alias("auc_registrada"), F.round("auc", 5).alias("auc_refeita"),
-                        (F.abs(F.col("auc") - kept) <= tolerance).alias("confere"))
+def check_replay(ws):
+    """Preparation and model are learned again from the register's text; the new model must give the registered AUC."""
+    recipe(ws)
+    kept = Recipe.read(ws.spark, folder(ws, "registro"))
+    again = kept.refit(part(ws, "treino", "validacao"), folder(ws, "refeito"))
+    return replayed(kept, measure_on(again, part(ws, "teste")))
 
 
 def check_prep_complete(ws):
@@ -389,7 +389,7 @@ QUERIES = {
     "permutation_blocks": permutation_blocks,
     "stability_selection": stability_selection,
     "control_table": control_table,
-    "model_register": lambda ws: model_register(ws).drop("pasta"),
+    "model_register": model_register,
     "check_replay": check_replay,
     "check_prep_complete": check_prep_complete,
 }

@@ -6,25 +6,28 @@ Each run stops at the first guard that fails, writes its tables, registers and C
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import CONTRACT, TEST, TRAIN, VALID
+from ..functions.exprs import with_totals
 from ..functions.metadata import (CATEGORICAL, FACTOR_ORDER, FACTORS, FEATURES, INDICATORS, NUMERIC,
                                   STARTING_POINT, TERRITORY, variable_metadata)
-from ..operators import curation, guards, metrics, modeling, profile, reports
+from ..operators import curation, guards, metrics, modeling, profile, relations, reports, screening, stability
 from ..operators.modeling import LINEAR, LOGISTIC, Fitted, Folds
 from ..operators.prepare import Design, weighted_groups
-from ..operators.splits import sample_rows
+from ..operators.recipes import Recipe, replayed
+from ..operators.splits import group_folds, sample_rows
 from ..sources import lake
+from .profile_queries import check_decisions
 from .workspace import UNIT, Workspace
 
 
 @dataclass(frozen=True)
 class Settings:
-    spaces: dict = field(default_factory=lambda: modeling.SPACES)
+    spaces: dict | None = None        # None: modeling.SPACES for pupils, modeling.NETWORK_SPACES for networks
     folds: int = 5
     rounds: int = 5
     minimum_rounds: int = 4
@@ -79,118 +82,197 @@ def _scores(fitted: dict[str, Fitted], rows: DataFrame, y: str, w) -> DataFrame:
     return out
 
 
-def _search(ws, s: Settings, folds: dict, out: str) -> tuple[DataFrame, str]:
+def _search(ws, spaces: dict, s: Settings, folds: dict, out: str) -> tuple[DataFrame, str]:
     """Search results as CSV with JSON parameters, the best of each family, the chosen one."""
     found, origin = lake.materialize_if_stale(
-        ws.spark, f"{out}/busca", lambda: modeling.search(folds, s.spaces, ws.cycle.seed, s.parallelism),
+        ws.spark, f"{out}/busca", lambda: modeling.search(folds, spaces, ws.cycle.seed, s.parallelism),
         ["familia", "parametros", "log_loss", "log_loss_desvio"], refresh=not s.reuse_search)
     found.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out}/busca_csv")
     best = metrics.best_per_family(found)
     return best, metrics.choose_family(best, LOGISTIC).first().escolhida
 
 
-def _register(ws, path: str, family: str, best, variables, table: dict) -> None:
-    params = json.loads(best.parametros)
-    numbers = {k: float(v) for k, v in params.items() if isinstance(v, (int, float))}
-    lake.write_register(ws.spark, path, {
-        "familia": family, "parametros": numbers, "parametros_texto": best.parametros,
-        "criterio": "menor log-loss na validação cruzada; a logística vence a menos de um desvio da melhor",
-        "metricas": {k: round(float(v), 5) for k, v in table.items() if v is not None},
-        "semente": ws.cycle.seed, "variaveis": list(variables)})
+NAMES = ("auc", "log_loss", "brier")
+FOLD_NAMES = ("auc", "auc_desvio", "log_loss", "log_loss_desvio", "brier")
+REPEAT, CEILING, CONSTANT = "repetir o ciclo anterior", "melhor previsão possível", "constante"
+
+
+def _references(rows: DataFrame, train_rate: float) -> DataFrame:
+    """(modelo, alunos, y, w, p) of the previous rate and of the best possible prediction."""
+    score = lambda n, p: F.struct(F.lit(n).alias("modelo"), p.alias("p"))
+    return rows.select("alunos", F.col("alvo").alias("y"), F.col("peso").alias("w"), F.inline(F.array(
+        score(REPEAT, F.coalesce(F.col("rede_taxa_ant") / 100, F.lit(train_rate))),
+        score(CEILING, F.col("alfabetizados") / F.col("alunos"))))).select("modelo", "alunos", "y", "w", "p")
+
+
+def _fold_references(train: DataFrame, seed: int, folds: int) -> DataFrame:
+    """Cross validation of the three references that learn nothing: one row each."""
+    d = train.join(group_folds(train, "id_municipio", seed, folds), "id_municipio")
+    per = d.groupBy("fold").agg(F.sum("peso").alias("n"), F.sum(F.col("peso") * F.col("alvo")).alias("y"))
+    whole = per.agg(F.sum("n").alias("tn"), F.sum("y").alias("ty"))
+    rest = per.transform(with_totals, whole).select("fold", ((F.col("ty") - F.col("y")) / (F.col("tn") - F.col("n"))).alias("taxa_treino"))
+    return metrics.summarize_folds(metrics.baselines(d.join(F.broadcast(rest), "fold")), ["referencia"])        # one row per fold
+
+
+def comparison(cv: DataFrame, references: DataFrame, seen: DataFrame) -> DataFrame:
+    """Cross validation beside validation for finalists and references, with the way to the ceiling on both sides, and
+    whether validation puts the families in the same order as cross validation."""
+    left = references.select(F.col("referencia").alias("modelo"), F.lit("referência").alias("tipo"), *NAMES).unionByName(
+        cv.select(F.col("familia").alias("modelo"), F.lit("finalista").alias("tipo"), *NAMES))
+    both = left.select("modelo", "tipo", *[F.col(n).alias(f"cv_{n}") for n in NAMES]).join(
+        seen.select("modelo", *[F.col(n).alias(f"validacao_{n}") for n in NAMES]), "modelo", "full_outer")
+    top = both.where(F.col("modelo") == CEILING).select(F.col("cv_auc").alias("__cv"), F.col("validacao_auc").alias("__validacao"))
+    for side in ("cv", "validacao"):
+        way = F.try_divide(F.col(f"{side}_auc") - 0.5, F.col(f"__{side}") - 0.5)
+        both = both.transform(with_totals, top) if side == "cv" else both
+        both = both.withColumn(f"{side}_pct_do_caminho", F.bround(100 * way, 0))
+    # windows over the few rows of the report
+    place = lambda c: F.row_number().over(Window.partitionBy("tipo").orderBy(F.col(c).asc_nulls_last(), "modelo"))
+    both = both.withColumn("mesma_ordem", place("cv_log_loss") == place("validacao_log_loss"))
+    return both.withColumn("mesma_ordem", F.when(F.col("tipo") == "finalista", F.col("mesma_ordem"))).drop("__cv", "__validacao")
 
 
 def model_pupils(ws: Workspace, out: str, s: Settings = Settings(), design: Design | None = None) -> str:
     """Pupil grain: weighted rows, preparation check, search, finalists against references."""
-    design, seed = design or full_design(s), ws.cycle.seed
+    design, seed, spaces = design or full_design(s), ws.cycle.seed, s.spaces or modeling.SPACES
     rows = weighted_groups(ws.redes).withColumn(
         "desempate", F.concat_ws("/", "unidade", F.col("alvo").cast("string")))
     pupils = ws.abt().where(F.col("rede_nome").isin("Estadual", "Municipal")).select("particao", "alvo")
     guards.enforce(guards.aggregation_preserves(pupils, rows).where("not preserva"), "compression")
     train, valid = (rows.where(F.col("particao") == p) for p in (TRAIN, VALID))
     folds = {b: Folds(train, design, b, f"{out}/partes_{b}", seed, s.folds, y="alvo", weight="peso",
-                      row="desempate") for b in sorted({LINEAR[f] for f in s.spaces})}
+                      row="desempate") for b in sorted({LINEAR[f] for f in spaces})}
     for fold in folds.values():
         guards.enforce(guards.empty_cells(fold.table, fold.preparation.columns()).where("celulas_vazias > 0"),
                        "empty cells after preparation")
-    best, chosen = _search(ws, s, folds, out)
-    final = {r.familia: modeling.fit(train, design, r.familia, json.loads(r.parametros), seed,
-                                     f"{out}/finalistas/{i}", "alvo", "peso")
-             for i, r in enumerate(best.collect())}
-    seen = metrics.measure(_scores(final, valid, "alvo", F.col("peso")), ["modelo"])
-    best_possible = metrics.measure(valid.select(
-        F.col("alvo").alias("y"), F.col("peso").alias("w"), (F.col("alfabetizados") / F.col("alunos")).alias("p")))
-    top = best_possible.first().auc
-    table = metrics.way_to_ceiling(seen, F.lit(top))
+    best, chosen = _search(ws, spaces, s, folds, out)
+    found = {r.familia: r for r in best.collect()}          # one row per family
+    recipes = {f: Recipe(f, json.loads(r.parametros), design, seed, "alvo", "peso") for f, r in found.items()}
+    final = {f: r.refit(train, f"{out}/finalistas/{i}") for i, (f, r) in enumerate(recipes.items())}
+    rate = train.agg((F.sum(F.col("peso") * F.col("alvo")) / F.sum("peso")).alias("m")).first().m
+    flat = valid.select(F.lit(CONSTANT).alias("modelo"), "alunos", F.col("alvo").alias("y"), F.col("peso").alias("w"), F.lit(float(rate)).alias("p"))
+    scores = _scores(final, valid, "alvo", F.col("peso")).unionByName(_references(valid, float(rate))).unionByName(flat)
+    seen = metrics.measure(scores, ["modelo"])
+    table = comparison(best, _fold_references(train, seed, s.folds), seen)
     lake.write_report(table, f"{out}/reports/comparacao_modelos", 5)
-    winner = best.where(F.col("familia") == chosen).first()
-    _register(ws, f"{out}/registro", chosen, winner, design.variables,
-              {k: winner[k] for k in ("auc", "auc_desvio", "log_loss", "log_loss_desvio", "brier")})
+    lake.write_report(default_logistics(folds[True], design), f"{out}/reports/referencias_logisticas", 5) if True in folds else None
+    mine = seen.where(F.col("modelo") == chosen).first()
+    recipes[chosen].measured(folds={k: found[chosen][k] for k in FOLD_NAMES}, validation={k: mine[k] for k in NAMES}).write(
+        ws.spark, f"{out}/registro")
     return chosen
 
 
-CURATION_SCHEMA = f"{curation.LOG_SCHEMA}, sobrevivencia double"
+def default_logistics(folds: Folds, design: Design) -> DataFrame:
+    """Cross validation of a logistic with the default penalty, over all variables and over the previous rate alone."""
+    sets = {"logística padrão": None, "logística só com o ciclo anterior": [v for v in ("rede_taxa_ant",) if v in design.variables]}
+    per = None
+    for name, variables in sets.items():
+        if variables == []:
+            continue
+        one = modeling.cross_validate(folds, LOGISTIC, {"C": 1.0}, {"referencia": name}, variables)
+        per = one if per is None else per.unionByName(one)
+    return metrics.summarize_folds(per, ["referencia"])
+
+
+CURATION_SCHEMA = "variavel string, etapa string, fica boolean, regra string, valor double, ligada string, rodadas long, sobrevivencia double"
 
 
-def curate(ws: Workspace, out: str, s: Settings, design: Design, numeric: list[str]) -> list[str]:
-    """Selected variables, from the stored log when asked for, else by both stages."""
+def curate(ws: Workspace, out: str, s: Settings, design: Design, numeric: list[str]) -> tuple[list[str], list[str]]:
+    """Variables that the screening leaves, and of these the selected ones; from the stored log when asked for."""
     path, train = f"{out}/reports/curadoria_variaveis", part(ws, TRAIN)
     if s.reuse_curation and lake.path_exists(ws.spark, f"{path}/_SUCCESS"):
         log = ws.spark.read.schema(CURATION_SCHEMA).option("header", True).csv(path)
-        rows = log.where("etapa = 'B' and situacao = 'fica'").orderBy("sobrevivencia").collect()
+        rows = log.where("etapa = 'B'").orderBy("sobrevivencia", "variavel").collect()
         unknown = [r.variavel for r in rows if r.variavel not in design.variables]
         if unknown:
             raise lake.StopRun(f"the stored curation names unknown variables: {unknown}")
-        return [r.variavel for r in rows]
-    kept, log = curation.stage_a(train, numeric, "unidade", ws.cycle)
-    selected, rows = modeling.stability_selection(
-        train, design, [*kept, "rede_nome"], f"{out}/estabilidade", ws.cycle.seed, s.rounds,
-        s.minimum_rounds, s.folds, s.shuffles, s.instrument)
-    a = ws.spark.createDataFrame(log, curation.LOG_SCHEMA).where("situacao = 'sai'")
-    b = ws.spark.createDataFrame(rows, modeling.STABILITY_SCHEMA)
-    both = a.unionByName(b, allowMissingColumns=True).select(
+        return [r.variavel for r in rows if r.variavel in numeric], [r.variavel for r in rows if r.fica]
+    kept, log = screening.screen(train, numeric, ws.cycle, lambda names: curation.filled_correlation(train, names),
+                                 lambda names: relations.pairwise_spearman(train, names, "unidade"))
+    losses = stability.eliminate(train, design, [*kept, "rede_nome"], f"{out}/estabilidade", ws.cycle.seed, s.rounds, s.folds, s.shuffles, s.instrument)
+    lasting = stability.verdicts(losses, s.minimum_rounds)
+    a = log.where("regra is not null").select("variavel", F.lit("A").alias("etapa"), F.lit(False).alias("fica"), "regra", "valor", "ligada")
+    both = a.unionByName(lasting.withColumn("etapa", F.lit("B")), allowMissingColumns=True).select(
         *[f.split()[0] for f in CURATION_SCHEMA.split(", ")])
     lake.write_report(both, path, 3)
-    return selected
+    return kept, stability.select(losses, s.minimum_rounds)
+
+
+def by_variables(ws: Workspace, out: str, s: Settings, design: Design, sets: dict[str, list[str]]) -> DataFrame:
+    """The same cross validation over several sets of variables, with the instrument of the curation."""
+    sets = {k: vs for k, vs in sets.items() if vs}
+    every = design.only([v for vs in sets.values() for v in vs])
+    folds = Folds(part(ws, TRAIN), every, False, f"{out}/partes_conjuntos", ws.cycle.seed, s.folds)
+    return metrics.summarize_folds(modeling.compare_variables(folds, modeling.Params(**s.instrument), sets), ["configuracao", "variaveis"])
+
+
+def _measured_networks(scores: DataFrame, least: int) -> DataFrame:
+    """Metrics of each model, and its AUC over networks of `least` pupils or more."""
+    stable = metrics.measure(scores.where(F.col("alunos") >= least), ["modelo"]).select("modelo", F.col("auc").alias("auc_redes_estaveis"))
+    return metrics.measure(scores, ["modelo"]).join(stable, "modelo", "left")
 
 
 def model_networks(ws: Workspace, out: str, s: Settings = Settings(),
                    candidates: list[str] | None = None) -> tuple[Fitted, list[str]]:
-    """Network grain: curation in two stages, search, final model, test table."""
-    seed, train = ws.cycle.seed, part(ws, TRAIN)
+    """Network grain: curation in two stages, search, finalists on validation, final model, test table."""
+    seed, train, spaces = ws.cycle.seed, part(ws, TRAIN), s.spaces or modeling.NETWORK_SPACES
     numeric = [v for v in candidates or NUMERIC if v in NUMERIC]
     design = full_design(s)
+    guards.enforce(check_decisions(ws), "variable decisions")
     guards.enforce(guards.group_invariance(ws.units, ["particao", *UNIT], [*NUMERIC, *TERRITORY])
                    .where("grupos_que_variam > 0"), "variable that varies inside a network")
-    selected = curate(ws, out, s, design, numeric)
+    kept, selected = curate(ws, out, s, design, numeric)
     chosen_design = design.only([*selected, *TERRITORY])
+    lake.write_report(by_variables(ws, out, s, design, {"todas": [*numeric, *CATEGORICAL], "etapa A": [*kept, *CATEGORICAL], "selecionadas": chosen_design.variables}),
+                      f"{out}/reports/conjuntos_variaveis", 5)
     folds = {x: Folds(train, chosen_design, x, f"{out}/partes_{x}", seed, s.folds)
-             for x in sorted({LINEAR[f] for f in s.spaces})}
-    best, family = _search(ws, s, folds, out)
-    winner = best.where(F.col("familia") == family).first()
-    params, both = json.loads(winner.parametros), part(ws, TRAIN, VALID)
-    final = modeling.fit(both, chosen_design, family, params, seed, f"{out}/final")
-    models = {"modelo final": final,
-              "só o ciclo anterior": modeling.fit(both, Design(["rede_taxa_ant"], []), LOGISTIC, {"C": 1.0}, seed,
-                                                  f"{out}/ciclo_anterior")}
+             for x in sorted({LINEAR[f] for f in spaces})}
+    best, family = _search(ws, spaces, s, folds, out)
+    found = {r.familia: r for r in best.collect()}          # one row per family
+    recipe = Recipe(family, json.loads(found[family].parametros), chosen_design, seed)
+    previous = Recipe(LOGISTIC, {"C": 1.0}, Design(["rede_taxa_ant"], []), seed)
+    variants = {"só o ciclo anterior": previous}
     if selected:
-        models["sem território"] = modeling.fit(both, design.only(selected), family, params, seed,
-                                                f"{out}/sem_territorio")
+        variants["sem território"] = replace(recipe, design=design.only(selected))
+    finalists = {f: replace(recipe, family=f, params=json.loads(r.parametros)) for f, r in found.items()}
+    on_train = {n: r.refit(train, f"{out}/finalistas/{i}") for i, (n, r) in enumerate((finalists | variants).items())}
+    seen = _measured_networks(_scores(on_train, part(ws, VALID), "bateu_meta", F.lit(1)), ws.cycle.min_stable)
+    gain = territory_gain(folds[LINEAR[family]], recipe, selected, found[family].auc)
+    lake.write_report(seen.withColumn("ganho_do_territorio", F.when(F.col("modelo") == family, F.lit(gain))), f"{out}/reports/validacao_rede", 5)
+    both = part(ws, TRAIN, VALID)
+    final = recipe.refit(both, f"{out}/final")
+    models = {"modelo final": final} | {n: r.refit(both, f"{out}/variantes/{i}") for i, (n, r) in enumerate(variants.items())}
     test = part(ws, TEST)
-    scores = _scores(models, test, "bateu_meta", F.lit(1))
-    every = metrics.measure(scores, ["modelo"])
-    stable = metrics.measure(scores.where(F.col("alunos") >= ws.cycle.min_stable), ["modelo"]).select(
-        "modelo", F.col("auc").alias("auc_redes_estaveis"))
-    table = every.join(stable, "modelo", "left").join(
-        metrics.confusion(scores, ["modelo"]), "modelo")
-    lake.write_report(table, f"{out}/reports/avaliacao_teste_rede", 5)
-    measured = every.where("modelo = 'modelo final'").first()
+    rate = both.agg(F.avg("bateu_meta").alias("m")).first().m
+    flat = test.select(F.lit(CONSTANT).alias("modelo"), "alunos", F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), F.lit(float(rate)).alias("p"))
+    scores = _scores(models, test, "bateu_meta", F.lit(1)).unionByName(flat)
+    every = _measured_networks(scores, ws.cycle.min_stable)
+    lake.write_report(every.join(metrics.confusion(scores, ["modelo"]), "modelo"), f"{out}/reports/avaliacao_teste_rede", 5)
+    mine, valid = every.where("modelo = 'modelo final'").first(), seen.where(F.col("modelo") == family).first()
     final.preparation.save(f"{out}/modelo/preparo")
-    final.model.write().overwrite().save(f"{out}/modelo/modelo")
-    _register(ws, f"{out}/registro", family, winner, chosen_design.variables,
-              {k: measured[k] for k in ("auc", "log_loss", "brier")})
+    modeling.save_model(final.model, ws.spark, f"{out}/modelo/modelo")
+    recipe.measured(folds={k: found[family][k] for k in FOLD_NAMES}, validation={k: valid[k] for k in (*NAMES, "auc_redes_estaveis")},
+                    test={k: mine[k] for k in NAMES}).write(ws.spark, f"{out}/registro")
     return final, selected
 
 
+def territory_gain(folds: Folds, recipe: Recipe, selected: list[str], auc: float) -> float | None:
+    """What the territory adds to the AUC of the chosen recipe in cross validation; null where nothing else is left."""
+    if not selected:
+        return None
+    per = modeling.cross_validate(folds, recipe.family, recipe.params, {"modelo": "sem território"}, selected)
+    return float(auc) - metrics.summarize_folds(per, ["modelo"]).first().auc
+
+
+def rebuilt(ws: Workspace, register: str, out: str) -> tuple[Fitted, Recipe]:
+    """The registered network model, learned again from the register's text; it has to give the registered AUC."""
+    recipe = Recipe.read(ws.spark, register)
+    model = recipe.refit(part(ws, TRAIN, VALID), out)
+    again = metrics.measure(model.score(part(ws, TEST)).select(F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), "p"))
+    guards.enforce(replayed(recipe, again).where("not confere"), "the recipe does not replay")
+    return model, recipe
+
+
 def answer_questions(ws: Workspace, out: str, model: Fitted, registered_auc: float | None,
                      s: Settings = Settings()) -> dict[str, DataFrame]:
     """Five answers from the final model, each written as a CSV report."""

@@ -1,6 +1,7 @@
 """Profiling, relations and curation as registered queries."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,12 +10,12 @@ from ..functions.exprs import band, pct, ratio, with_totals
 from ..functions.metadata import (BLOCKS, CATEGORICAL, FEATURES, HYPOTHESIS_OF, INDICATORS,
                                   NUMERIC, variable_metadata)
 from ..operators import context as ctx
-from ..operators import curation, guards, prepare, profile, relations
-from ..operators.moments import correlation_pairs, matrix_of, vif_from_correlation
+from ..operators import curation, guards, prepare, profile, relations, screening
+from ..operators.moments import correlation_pairs, matrix_of
 from ..operators.ordering import quantiles
+from ..operators.sweep import Swept
 from .workspace import Workspace
 
-RARE_LIMIT = 300
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -154,7 +155,6 @@ def change_by_quartile(ws, left_out: str = "NATION_0"):
 # -- two networks of one municipality ----------------------------------------------------------
 INFRA = ["esc_pct_quadra", "esc_pct_biblioteca_ou_sala_leitura", "esc_alunos_por_docente",
          "esc_inse_medio"]
-MIN_PAIRS = 2
 SOCIO_STEP = 0.05
 
 
@@ -187,7 +187,7 @@ def paired_network_gap(ws):
     rest = long.groupBy("corte", "grupo").agg(F.count(F.lit(1)).alias("municipios"),
                                               profile.share(F.col("d") > 0).alias("estadual_maior_pct"))
     out = rest.join(med, ["corte", "grupo"])
-    comparable = (F.col("corte") != "UF") | (F.col("municipios") >= MIN_PAIRS)
+    comparable = (F.col("corte") != "UF") | (F.col("municipios") >= ws.cycle.min_pairs)
     # rank correlation over the pairs that have both differences
     both = pairs.where("d_esc_inse_medio is not null")
     ranks = relations.rank_frame(both, ["d_esc_inse_medio", "d_taxa"], "id_municipio", [])
@@ -268,27 +268,28 @@ def gradient_pattern(ws):
     return rounded(patterns(ws))
 
 
-def _groups(ws):
-    matrix = matrix_of(spearman_pairs(ws), NUMERIC)
-    strength = {r.variavel: r.spearman for r in correlations(ws).collect()}
-    return relations.redundancy_groups(NUMERIC, matrix, strength), matrix, strength
+def _members(ws) -> DataFrame:
+    """Every numeric variable with its redundancy group; stored, as several reports share it."""
+    def build():
+        group = relations.linked_groups(NUMERIC, matrix_of(spearman_pairs(ws), NUMERIC))
+        strength = correlations(ws).select("variavel", F.col("spearman").alias("forca"))
+        return relations.group_members(ws.spark, group, strength, HYPOTHESIS_OF)
+
+    return ws.stored("grupos", build, ["representante"])
 
 
 def redundancy_groups(ws):
-    groups, matrix, strength = _groups(ws)
-    rows = relations.group_rows(groups, NUMERIC, matrix, strength, HYPOTHESIS_OF)
-    return rounded(ws.spark.createDataFrame(rows, relations.GROUP_SCHEMA))
+    return rounded(relations.group_table(_members(ws), spearman_pairs(ws)))
 
 
 def vif_rank(ws):
     """Inflation factors of all variables and of one representative per group."""
-    groups, matrix, _ = _groups(ws)
-    place = {c: i for i, c in enumerate(NUMERIC)}
-    leaders = [g[0] for g in groups]
-    keep = [place[c] for c in leaders]
-    rows = [("todas", c, float(v)) for c, v in zip(NUMERIC, vif_from_correlation(matrix.copy()))]
-    rows += [("um por grupo", c, float(v))
-             for c, v in zip(leaders, vif_from_correlation(matrix[keep][:, keep]))]
+    matrix = matrix_of(spearman_pairs(ws), NUMERIC)
+    leaders = {r.variavel for r in _members(ws).where("lugar = 1").select("variavel").collect()}
+    rows = []
+    for name, keep in (("todas", NUMERIC), ("um por grupo", [v for v in NUMERIC if v in leaders])):
+        at = [NUMERIC.index(v) for v in keep]
+        rows += [(name, v, f) for v, f in Swept(keep, matrix[np.ix_(at, at)]).factors().items()]
     return ws.spark.createDataFrame(rows, "conjunto string, variavel string, vif double")
 
 
@@ -298,17 +299,25 @@ def vif_ols(ws):
                                     "variavel string, vif double")
 
 
+def screened(ws) -> tuple[list[str], DataFrame]:
+    train = ws.redes.where("particao = 'treino'")
+    return screening.screen(train, NUMERIC, ws.cycle, lambda names: curation.filled_correlation(train, names),
+                            lambda names: relations.pairwise_spearman(train, names, "unidade"))
+
+
 def curate_redundancy(ws):
-    kept, log = curation.stage_a(ws.redes.where("particao = 'treino'"), NUMERIC, "unidade",
-                                 ws.cycle)
-    return ws.spark.createDataFrame(log, curation.LOG_SCHEMA)
+    return rounded(screened(ws)[1])
+
+
+def screening_facts(ws):
+    """What the rules of curation know of each variable, and the rank by which variables leave."""
+    return rounded(screening.facts(ws.redes.where("particao = 'treino'"), NUMERIC, ws.cycle))
 
 
 def concepts(ws) -> DataFrame:
     """One row per redundancy group: its representative with rank, shape and hypotheses."""
-    groups, _, _ = _groups(ws)
-    rows = [(g[0], len(g), sorted({HYPOTHESIS_OF[m].split()[0] for m in g})) for g in groups]
-    base = ws.spark.createDataFrame(rows, "variavel string, representa int, hipoteses array<string>")
+    base = _members(ws).groupBy(F.col("representante").alias("variavel")).agg(
+        F.max("tamanho").alias("representa"), F.array_sort(F.collect_set(F.substring_index("hipotese", " ", 1))).alias("hipoteses"))
     shape = gradient_pattern(ws).select("variavel", "amplitude_pp_q", "padrao")
     corr = response_correlation(ws).select("variavel", "spearman", "pct_do_teto")
     hyp = variable_metadata(ws.spark, ws.cycle).select("variavel", "hipotese")
@@ -357,13 +366,12 @@ def gradient_by_hypothesis(ws):
 
 
 def _decisions(ws):
-    groups, _, _ = _groups(ws)
     shape = profile.shape_diagnostics(ws.units, NUMERIC).select("variavel", "assimetria")
     train = profile.numeric_summary(prepare.to_long(ws.train_units, NUMERIC, ["alunos"]), {}) \
         .select("variavel", "n", "minimo")
-    rows = [(m, g[0], [o for o in g if o != m], g) for g in groups for m in g]
-    base = ws.spark.createDataFrame(
-        rows, "variavel string, representante string, outros array<string>, membros array<string>")
+    every = F.transform(F.array_sort(F.collect_list(F.struct("lugar", "variavel")).over(Window.partitionBy("grupo"))), lambda x: x["variavel"])
+    base = _members(ws).select("variavel", "representante", every.alias("membros")).withColumn(
+        "outros", F.array_except("membros", F.array("variavel")))
     return curation.decision_list(ws, base, shape, train), base
 
 
@@ -375,7 +383,7 @@ def check_decisions(ws):
     lista, base = _decisions(ws)
     features = ws.spark.createDataFrame([(f,) for f in FEATURES], "variavel string")
     groups = base.select(F.col("representante").alias("variavel"), "membros")
-    indicators = ws.spark.createDataFrame([(v,) for v in INDICATORS.values()], "variavel string")
+    indicators = lista.where("indicador_ausencia is not null").select("variavel")
     themes = variable_metadata(ws.spark, ws.cycle).where("tipo <> 'controle'").select("variavel")
     return guards.decisions(lista, features, groups, indicators, themes)
 
@@ -451,7 +459,7 @@ QUERIES = {
     "numeric_description": lambda ws: rounded(profile.numeric_description(ws.units, NUMERIC)),
     "scale_concentration": lambda ws: rounded(profile.scale_concentration(ws.units, NUMERIC)),
     "categorical_profile": lambda ws: rounded(profile.categorical_profile(ws.units, CATEGORICAL)),
-    "rare_categories": lambda ws: rounded(profile.rare_categories(ws.units, CATEGORICAL, RARE_LIMIT)),
+    "rare_categories": lambda ws: rounded(profile.rare_categories(ws.units, CATEGORICAL, ws.cycle.rare_limit)),
     "shape_diagnostics": lambda ws: rounded(profile.shape_diagnostics(ws.units, NUMERIC)),
     "missing_summary": lambda ws: rounded(profile.missing_summary(ws.units, FEATURES)),
     "missing_patterns": missing_patterns,
@@ -474,6 +482,7 @@ QUERIES = {
     "vif_rank": vif_rank,
     "vif_ols": vif_ols,
     "curate_redundancy": curate_redundancy,
+    "screening_facts": screening_facts,
     "evidence_ranking": evidence_ranking,
     "evidence_by_hypothesis": evidence_by_hypothesis,
     "decision_list": decision_list,

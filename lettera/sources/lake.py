@@ -147,7 +147,8 @@ def write_register(spark: SparkSession, path: str, recipe: dict) -> None:
                           "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-REGISTER_SCHEMA = ("familia string, parametros map<string,double>, parametros_texto string, criterio string, "
+REGISTER_SCHEMA = ("familia string, parametros map<string,double>, parametros_texto string, desenho string, resposta string, "
+                   "peso string, criterio string, validacao_cruzada map<string,double>, validacao map<string,double>, "
                    "metricas map<string,double>, semente int, variaveis array<string>")
 
 

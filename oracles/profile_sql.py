@@ -236,7 +236,7 @@ k AS (SELECT rank() OVER (ORDER BY d_inse) + (count(*) OVER (PARTITION BY d_inse
       FROM p_pares WHERE d_inse IS NOT NULL)
 SELECT corte, grupo, count(*) AS municipios, round(median(d), 6) AS diferenca_mediana,
        round(100.0::DOUBLE * avg((d > 0)::INTEGER), 6) AS estadual_maior_pct
-FROM l WHERE d IS NOT NULL GROUP BY corte, grupo HAVING corte <> 'UF' OR count(*) >= 2
+FROM l WHERE d IS NOT NULL GROUP BY corte, grupo HAVING corte <> 'UF' OR count(*) >= 10
 UNION ALL SELECT 'spearman', 'diferença de INSE', count(*), round(corr(ra, rb), 6), NULL FROM k""",
     "network_share_by_state": """
 SELECT sigla_uf, count(*) FILTER (WHERE rede_nome = 'Estadual') AS "Estadual",
@@ -274,7 +274,7 @@ SELECT variavel, count(categoria) AS categorias,
 FROM p_categorias GROUP BY variavel""",
     "rare_categories": f"""
 SELECT variavel, categoria, n, {r('100.0::DOUBLE * n / (SELECT count(*) FROM c_abt)', 'pct')},
-       {r('100.0::DOUBLE * sim / n', 'taxa')} FROM p_categorias WHERE n < 300""",
+       {r('100.0::DOUBLE * sim / n', 'taxa')} FROM p_categorias WHERE n < 1000""",
     "shape_diagnostics": f"""
 SELECT variavel, {r('assimetria', 'assimetria')}, {r('curtose', 'curtose')}, {r('fora', 'fora_de_tukey_pct')},
        {r('CASE WHEN med > 0 THEN p99 / med END', 'razao_p99_mediana')},
@@ -385,6 +385,18 @@ JOIN (SELECT variavel, 100.0::DOUBLE * max(n) / sum(n) AS comum FROM
       GROUP BY variavel) c USING (variavel) JOIN p_hipotese USING (variavel)
 LEFT JOIN (SELECT * FROM p_vizinhos WHERE mesmo AND ordem = 1) i ON variavel = i.a
 LEFT JOIN (SELECT * FROM p_vizinhos WHERE NOT mesmo AND ordem = 1) o ON variavel = o.a""",
+    "screening_facts": rf"""
+WITH m AS (SELECT m.variavel, m.grao, regexp_extract_all(referencia, '\\b(?:19|20)\\d\\d\\b') AS anos, regexp_extract_all(formula, '\\w+') AS palavras
+           FROM (VALUES {META}) m(variavel, hipotese, grao, referencia, formula, papel)
+           WHERE m.variavel IN (SELECT variavel FROM p_redes_longa)),
+c AS (SELECT variavel, sum(n) AS n, max(n) AS top FROM (SELECT variavel, valor, count(*) AS n FROM p_redes_longa WHERE valor IS NOT NULL GROUP BY 1, 2) GROUP BY variavel),
+f AS (SELECT m.variavel, 1 - coalesce(c.n, 0) / (SELECT count(*) FROM c_redes WHERE particao = 'treino')::DOUBLE AS ausentes,
+             coalesce(c.top / c.n::DOUBLE, 1.0) AS mais_comum,
+             list_has_any(palavras, (SELECT list(variavel) FROM m o WHERE o.variavel <> m.variavel)) AS tem_formula, grao <> 'rede' AS fora_da_rede,
+             (2000 - coalesce(list_max(list_transform(anos, lambda x: x::INTEGER)), 0))::INTEGER AS idade
+      FROM m LEFT JOIN c ON c.variavel = m.variavel)
+SELECT variavel, {r('ausentes', 'ausentes')}, {r('mais_comum', 'mais_comum')}, tem_formula, fora_da_rede, idade,
+       (dense_rank() OVER (ORDER BY tem_formula, fora_da_rede, idade, ausentes))::INTEGER AS posto FROM f""",
     "missing_indicators": "SELECT id_municipio || '/' || rede_nome AS unidade, " + ", ".join(
         f"({v} IS NULL)::INTEGER AS {n}" for n, v in INDICATORS.items()) + " FROM c_redes",
     "one_hot": "SELECT id_municipio || '/' || rede_nome AS unidade, " + ", ".join(

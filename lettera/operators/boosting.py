@@ -331,31 +331,53 @@ class Leafwise:
 
         Small fits grow side by side, each in a task; a fit beyond the bound is summed over all executors.
         """
-        spark, p = rows.sparkSession, self.p
-        d = rows.select("fit", vector_to_array("features").alias("x"), F.col("y").cast("double").alias("y"), F.col("w").cast("double").alias("w"))
-        sums = d.groupBy("fit").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy"),
-                                    F.max(F.size("x")).alias("width")).collect()
-        if not sums:
-            return {}
-        rates = {r.fit: min(1 - EDGE, max(EDGE, r.wy / r.w)) for r in sums}
-        starts = {k: math.log(v / (1 - v)) for k, v in rates.items()}
-        width = max(r.width for r in sums)
-        columns = {r.fit: list(range(width)) if only is None else sorted(only[r.fit]) for r in sums}
-        limits = cuts(d, width)
-        binned = _binned(d, limits, starts)
-        large = sorted(r.fit for r in sums if r.n * width > self.one_task_cells)
-        nodes = _from_tasks(binned.filter(~F.col("fit").isin(large)) if large else binned, width, starts, columns, p) if len(large) < len(sums) else {}
+        return self.fit_binned(binned(rows), only)
+
+    def fit_binned(self, b: "Binned", only: dict[str, Sequence[int]] | None = None) -> dict[str, LeafwiseModel]:
+        """As `fit_many`, from rows that are cut into bins already; fits that `only` doesn't name are left out."""
+        p, spark = self.p, b.rows.sparkSession
+        columns = {k: list(range(b.width)) if only is None else sorted(only[k]) for k in b.sizes if only is None or k in only}
+        large = sorted(k for k in columns if b.sizes[k] * b.width > self.one_task_cells)
+        small = sorted(set(columns) - set(large))
+        nodes = _from_tasks(b.rows.filter(F.col("fit").isin(small)), b.width, b.starts, columns, p) if small else {}
         for k in large:
             path = run_folder(spark, "boosting", uuid.uuid4().hex)
             picked = [f"substring(bins, {c + 1}, 1)" for c in columns[k]]
-            narrow = F.col("bins") if len(picked) == width else F.expr(f"concat({', '.join(picked)})")
-            binned.filter(F.col("fit") == k).withColumn("bins", narrow).write.mode("overwrite").parquet(f"{path}/rows")
+            narrow = F.col("bins") if len(picked) == b.width else F.expr(f"concat({', '.join(picked)})")
+            b.rows.filter(F.col("fit") == k).withColumn("bins", narrow).write.mode("overwrite").parquet(f"{path}/rows")
             trees = _grown_there(spark.read.parquet(f"{path}/rows"), path, len(columns[k]), p)
             nodes[k] = [r for n, t in enumerate(trees) for r in _nodes(n, t, columns[k])]
-        return {k: LeafwiseModel(starts[k], width, [(*r[:4], float(limits[k][r[2]][r[3]]) if r[2] >= 0 else 0.0, *r[5:]) for r in rows])
+        return {k: LeafwiseModel(b.starts[k], b.width, [(*r[:4], float(b.limits[k][r[2]][r[3]]) if r[2] >= 0 else 0.0, *r[5:]) for r in rows])
                 for k, rows in nodes.items()}
 
 
+@dataclass
+class Binned:
+    """Rows (fit, bins, y, w, raw) with what each fit needs to know of them."""
+
+    rows: DataFrame
+    width: int
+    sizes: dict[str, int]
+    starts: dict[str, float]
+    limits: dict[str, list[np.ndarray]]
+
+
+def binned(rows: DataFrame, path: str | None = None) -> Binned:
+    """Rows with `fit`, `features`, `y` and `w`, cut into bins; stored under `path`, if given, for several fits."""
+    d = rows.select("fit", vector_to_array("features").alias("x"), F.col("y").cast("double").alias("y"), F.col("w").cast("double").alias("w"))
+    sums = d.groupBy("fit").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy"),
+                                F.max(F.size("x")).alias("width")).collect()
+    rates = {r.fit: min(1 - EDGE, max(EDGE, r.wy / r.w)) for r in sums}
+    starts = {k: math.log(v / (1 - v)) for k, v in rates.items()}
+    width = max((r.width for r in sums), default=0)
+    limits = cuts(d, width) if sums else {}
+    cut = _binned(d, limits, starts)
+    if path:
+        cut.write.mode("overwrite").parquet(path)
+        cut = rows.sparkSession.read.parquet(path)
+    return Binned(cut, width, {r.fit: r.n for r in sums}, starts, limits)
+
+
 def score_many(df: DataFrame, models: dict[str, LeafwiseModel], name: str = "p") -> DataFrame:
     """Adds the probability that the model named by `fit` gives to `features`, which goes."""
     shared = df.sparkSession.sparkContext.broadcast(models)
@@ -376,7 +398,7 @@ def _nodes(k: int, t: Tree, columns: Sequence[int]) -> list[tuple]:
              float(t.gain[n]), float(t.sums[n][0]), float(t.sums[n][1]), int(t.sums[n][2])) for n in range(len(t.column))]
 
 
-def _from_tasks(binned: DataFrame, width: int, starts: dict[str, float], columns: dict[str, list[int]], p: Params) -> dict[str, list[tuple]]:
+def _from_tasks(rows: DataFrame, width: int, starts: dict[str, float], columns: dict[str, list[int]], p: Params) -> dict[str, list[tuple]]:
     names = ["fit", *[f.split()[0] for f in TREE_SCHEMA.split(", ")]]
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
@@ -387,6 +409,6 @@ def _from_tasks(binned: DataFrame, width: int, starts: dict[str, float], columns
         return pd.DataFrame([(fit, *r) for k, t in enumerate(trees) for r in _nodes(k, t, columns[fit])], columns=names)
 
     found: dict[str, list[tuple]] = {}
-    for r in sorted(map(tuple, binned.groupBy("fit").applyInPandas(work, f"fit string, {TREE_SCHEMA}").collect())):
+    for r in sorted(map(tuple, rows.groupBy("fit").applyInPandas(work, f"fit string, {TREE_SCHEMA}").collect())):
         found.setdefault(r[0], []).append(r[1:])
     return found

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import with_totals
-from ..functions.metadata import (FACTOR_ORDER, FACTORS, HYPOTHESIS_OF, INDICATORS, NUMERIC, STARTING_POINT,
+from ..functions.metadata import (FACTOR_ORDER, FACTORS, HYPOTHESIS_OF, INDICATORS, STARTING_POINT,
                                   TERRITORY)
 from ..operators import guards, metrics, modeling, stability
 from ..operators.modeling import BOOSTING, FOREST, LOGISTIC, Folds
@@ -304,10 +304,11 @@ def permutation_blocks(ws):
 
 
 def stability_selection(ws):
-    """All numeric variables that the screening leaves, and the network, in five rounds of five folds."""
-    candidates = [*screened(ws)[0], "rede_nome"]
-    design = Design(list(NUMERIC), ["rede_nome"], dict(INDICATORS), [])
-    losses = stability.eliminate(part(ws, "treino"), design, candidates, folder(ws, "estabilidade"), ws.cycle.seed)
+    """Those variables of the model design that the screening leaves, and the network, in five rounds of five folds."""
+    candidates = [*[v for v in screened(ws)[0] if v in NUMERIC_MODEL], "rede_nome"]
+    design = Design(DESIGN.numeric, ["rede_nome"], DESIGN.indicators, [])
+    losses = stability.eliminate(part(ws, "treino"), design, candidates, folder(ws, "estabilidade"), ws.cycle.seed,
+                                 params=BOOSTING_PARAMS | {"max_iter": 50})
     return rounded(stability.verdicts(losses, 4))
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lettera.operators import metrics as M
 from lettera.operators import modeling as mod
+from lettera.operators import stability
 from lettera.operators.prepare import Design, weighted_groups
+from lettera.operators.recipes import Recipe, replayed, typed
 
 
 def brute(y, p, w):
@@ -178,9 +180,68 @@ def test_partial_dependence_rises_with_the_cause(spark, tmp_path):
     assert e["x"] > 20 and abs(e["z"]) < 15
 
 
-def test_stability_selection_keeps_the_cause(spark, tmp_path):
+def test_stability_keeps_the_cause_and_goes_on_where_it_ended(spark, tmp_path):
     units = data(spark, 120)
     params = {"learning_rate": .3, "max_iter": 3, "max_leaf_nodes": 4, "min_samples_leaf": 5}
-    chosen, rows = mod.stability_selection(units, DESIGN, ["x", "z"], str(tmp_path / "s"), 42, rounds=2,
-                                           minimum=2, folds=2, repeats=1, params=params)
-    assert "x" in chosen and len(rows) == 2
+    run = lambda resume: stability.eliminate(units, DESIGN, ["x", "z"], str(tmp_path / "s"), 42, 2, 2, 1, params, resume)
+    losses = run(False)
+    table = sorted(map(tuple, losses.collect()))
+    assert [(r, p, v) for r, p, v, _ in table if p == 1] == [(r, 1, v) for r in (1, 2) for v in ("", "x", "z")]
+    assert len(table) == 2 * (3 + 2) and stability.select(losses, 2)[0] == "x"
+    got = {r.variavel: r for r in stability.verdicts(losses, 2).collect()}
+    assert got["x"].rodadas == 2 and got["x"].sobrevivencia == 1 and got["z"].sobrevivencia == 2
+    # the second step is taken out and done again
+    half = spark.createDataFrame([r for r in table if r[1] == 1], stability.LOSS_SCHEMA)
+    half.write.mode("overwrite").parquet(str(tmp_path / "s" / "perdas"))
+    again = sorted(map(tuple, run(True).collect()))
+    assert [r[:3] for r in again] == [r[:3] for r in table] and [r[3] for r in again] == pytest.approx([r[3] for r in table])
+
+
+def test_verdicts_of_a_table_of_losses(spark):
+    rows = [(1, 1, "", .5), (1, 1, "a", .9), (1, 1, "b", .6), (1, 1, "c", .51), (1, 2, "", .4), (1, 2, "a", .8), (1, 2, "b", .41), (1, 3, "", .4), (1, 3, "a", .7),
+            (2, 1, "", .3), (2, 1, "a", .6), (2, 1, "b", .2), (2, 1, "c", .5), (2, 2, "", .6), (2, 2, "a", .9), (2, 2, "c", .8), (2, 3, "", .7), (2, 3, "a", .8)]
+    d = spark.createDataFrame(rows, stability.LOSS_SCHEMA)
+    got = {r.variavel: (r.rodadas, r.sobrevivencia, r.fica) for r in stability.verdicts(d, 2).collect()}
+    assert got == {"a": (2, 1.0, True), "b": (1, 2.5, False), "c": (1, 2.5, False)}
+    assert {(r.rodada, r.variavel) for r in stability.still_in(d.where("passo = 1"), ["a", "b", "c"]).collect()} == {(1, "a"), (1, "b"), (2, "a"), (2, "c")}
+
+
+RECIPES = [(mod.LOGISTIC, {"C": 0.5}), (mod.BOOSTING, {"learning_rate": .2, "max_iter": 4, "max_leaf_nodes": 5, "min_samples_leaf": 5, "l2_regularization": 1.0}),
+           (mod.FOREST, {"n_estimators": 5, "max_depth": None, "min_samples_leaf": 3, "max_features": "sqrt"})]
+
+
+@pytest.mark.parametrize("family,params", RECIPES)
+def test_a_recipe_refits_from_its_text(spark, tmp_path, family, params):
+    units = data(spark, 90)
+    recipe = Recipe(family, params, DESIGN, 7)
+    first = recipe.refit(units, str(tmp_path / "a"))
+    one = M.measure(first.score(units).select(F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), "p"))
+    recipe.measured(folds={"auc": .123456, "log_loss": None}, test={"auc": one.first().auc}).write(spark, str(tmp_path / "r"))
+    back = Recipe.read(spark, str(tmp_path / "r"))
+    assert (back.family, back.params, back.design, back.seed, back.folds) == (family, typed(family, params), DESIGN, 7, {"auc": .12346})
+    again = back.refit(units, str(tmp_path / "b"))
+    two = M.measure(again.score(units).select(F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), "p"))
+    assert replayed(back, two).first().confere
+    mod.save_model(again.model, spark, str(tmp_path / "m"))
+    kept = mod.Fitted(again.preparation, mod.load_model(family, spark, str(tmp_path / "m")), DESIGN.variables)
+    p = lambda m: sorted((r.unidade, r.p) for r in m.score(units).select("unidade", "p").collect())
+    assert p(kept) == p(again)
+
+
+def test_parameters_are_checked():
+    for family, params in ((mod.FOREST, {"n_estimators": 5}), (mod.LOGISTIC, {"C": "a"}), (mod.BOOSTING, {"depth": 1}), ("other", {}), (mod.LOGISTIC, {"C": True})):
+        with pytest.raises(ValueError):
+            typed(family, params)
+    assert typed(mod.FOREST, {"n_estimators": 5.0, "max_depth": None, "min_samples_leaf": 2, "max_features": .3})["n_estimators"] == 5
+
+
+def test_boosted_folds_of_several_sets(spark, tmp_path):
+    units = data(spark, 100)
+    folds = mod.Folds(units, DESIGN, False, str(tmp_path / "f"), 42, 2)
+    params = {"learning_rate": .2, "max_iter": 4, "max_leaf_nodes": 5, "min_samples_leaf": 5}
+    got = {(r.configuracao, r.parte): r.log_loss for r in mod.compare_variables(folds, mod.Params(**params), {"x": ["x"], "xz": ["x", "z"]}).collect()}
+    for name, vs in (("x", ["x"]), ("xz", ["x", "z"])):
+        for k in range(2):
+            model = mod.estimator(mod.BOOSTING, params, 0, 0).fit(folds.part(k, True, vs))
+            one = M.measure(mod.score(model, folds.part(k, False, vs)).select("y", F.col("peso_linha").alias("w"), "p")).first()
+            assert got[name, k] == pytest.approx(one.log_loss)

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lettera.constants import DEMO
-from lettera.operators import curation, profile, relations
-from lettera.operators.moments import correlation_pairs, matrix_of, vif_from_correlation
+from lettera.operators import curation, screening, profile, relations
+from lettera.operators.moments import correlation_pairs, matrix_of
+from lettera.operators.sweep import Swept
 from lettera.operators.prepare import (Design, GroupMedianImputer, Preparation, levels_of, missing_indicators,
                                        one_hot, scaling_of, standardize, zscore)
 
@@ -69,28 +70,102 @@ def test_exact_combination_has_infinite_vif():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 2))
     m = np.corrcoef(np.column_stack([x, x[:, 0] + x[:, 1], rng.normal(size=200)]).T)
-    v = vif_from_correlation(m)
-    assert np.isinf(v[:3]).all() and v[3] == pytest.approx(1, abs=.1)
+    v = Swept("abcd", m).factors()
+    assert all(np.isinf(v[c]) for c in "abc") and v["d"] == pytest.approx(1, abs=.1)
 
 
-def test_curation_rules_in_order(spark):
+def test_sweep_equals_least_squares_while_columns_leave():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 7))
+    x[:, 4] = x[:, 0] + .1 * x[:, 1]
+    x[:, 5] = x[:, 2] + .05 * rng.normal(size=300)
+    names = list("abcdefg")
+    swept, left = Swept(names, np.corrcoef(x.T)), list(names)
+    for gone in (None, "c", "a", "g", "b", "e"):
+        if gone:
+            swept.remove(gone)
+            left.remove(gone)
+        got, want = swept.factors(), brute_vif(pd.DataFrame(x, columns=names), left)
+        assert list(got) == left
+        for c in left:
+            assert np.isinf(got[c]) == np.isinf(want[c]) and (np.isinf(got[c]) or got[c] == pytest.approx(want[c], rel=1e-6))
+
+
+def screened(d, cols, **limits):
+    return screening.screen(d, cols, DEMO, lambda names: curation.filled_correlation(d, names),
+                            lambda names: relations.pairwise_spearman(d, names, "k"), **limits)
+
+
+def test_screening_rules_in_order(spark):
     p = frame(200, 9)
     p["vazia"] = np.where(np.arange(200) < 60, np.nan, p.a.to_numpy() * 0 + np.arange(200))
     p["parada"] = np.where(np.arange(200) < 190, 1.0, np.arange(200))
     d = to_spark(spark, p.rename(columns={"a": "rede_a", "b": "esc_b", "c": "mun_c", "d": "esc_d"}))
     cols = ["rede_a", "esc_b", "mun_c", "esc_d", "vazia", "parada"]
-    kept, log = curation.stage_a(d, cols, "k", DEMO, max_vif=50, max_rho=.8)
-    out = {row[0]: row[3] for row in log if row[2] == "sai"}
-    assert out["vazia"].startswith("1.") and out["parada"].startswith("2.")
-    assert set(out) & {"rede_a", "esc_b"} and out[next(iter(set(out) & {"rede_a", "esc_b"}))][0] in "34"
-    assert sorted(kept + list(out)) == sorted(cols)
+    kept, log = screened(d, cols, max_vif=50, max_rho=.8)
+    out = {r.variavel: r for r in log.where("regra is not null").collect()}
+    assert out["vazia"].regra == screening.GAPS and out["parada"].regra == screening.STILL
+    assert out["vazia"].valor == pytest.approx(.3) and (out["vazia"].ordem, out["parada"].ordem) == (1, 2)
+    pair = set(out) & {"rede_a", "esc_b"}
+    assert pair and out[next(iter(pair))].regra in (screening.EXPLAINED, screening.TWIN)
+    assert sorted(kept + list(out)) == sorted(cols) == sorted(r.variavel for r in log.collect())
+
+
+def test_screening_leaves_nothing_above_its_limits(spark):
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(250, 3))
+    p = pd.DataFrame({f"mun_{k}": base[:, k % 3] + rng.normal(scale=(.05, .3, 2.0)[k // 3], size=250) for k in range(9)})
+    p["mun_soma"], p["k"] = p.mun_0 + p.mun_1, [f"u{i}" for i in range(250)]
+    cols = [c for c in p.columns if c != "k"]
+    kept, log = screened(to_spark(spark, p), cols, max_vif=10, max_rho=.8)
+    assert all(v <= 10 for v in brute_vif(p, kept).values())
+    rho = p[kept].corr("spearman").abs().to_numpy()
+    assert (rho[np.triu_indices(len(kept), 1)] <= .8).all()
+    # leaving one at a time, by plain regression, gives the same order
+    rank, left = {r.variavel: r.posto for r in log.collect()}, list(cols)
+    for r in log.where("regra is not null").orderBy("ordem").collect():
+        if r.regra == screening.EXPLAINED:
+            factors = brute_vif(p, left)
+            above = [c for c in left if factors[c] > 10]
+            assert r.variavel == max(above, key=lambda c: (rank[c], factors[c], -cols.index(c)))
+            left.remove(r.variavel)
+    assert screened(to_spark(spark, p), [])[0] == []
 
 
 def test_complete_linkage_makes_no_chains():
     names = list("abcd")
     m = np.array([[1, .9, .5, 0], [.9, 1, .85, 0], [.5, .85, 1, 0], [0, 0, 0, 1]])
-    groups = relations.redundancy_groups(names, m, {"a": .1, "b": .4, "c": .2, "d": .3})
-    assert groups == [["b", "a"], ["c"], ["d"]]
+    assert relations.linked_groups(names, m) == {"a": 0, "b": 0, "c": 2, "d": 3}
+
+
+def plain_linkage(m, limit):
+    """Groups as sets; the closest two join, judged by their weakest pair, as long as that reaches the limit."""
+    groups = [{i} for i in range(len(m))]
+    while True:
+        close = [(min(abs(m[a, b]) for a in g for b in h), min(g), min(h)) for g in groups for h in groups if min(g) < min(h)]
+        if not close or max(close)[0] < limit:
+            return {i: min(g) for g in groups for i in g}
+        _, x, y = max(close)
+        g, h = (next(q for q in groups if min(q) == k) for k in (x, y))
+        groups = [q for q in groups if q is not g and q is not h] + [g | h]
+
+
+def test_linkage_equals_plain_code():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 9, 25):
+        x = rng.normal(size=(40, 4)) @ rng.normal(size=(4, n)) + .4 * rng.normal(size=(40, n))
+        m = np.round(np.atleast_2d(np.corrcoef(x.T)), 2)
+        assert relations.linked_groups(list(range(n)), m, .7) == plain_linkage(m, .7)
+
+
+def test_groups_as_a_table(spark):
+    group = {"a": 0, "b": 0, "c": 2, "d": 0}
+    strength = spark.createDataFrame([("a", .1), ("b", -.4), ("c", .2)], "variavel string, forca double")
+    members = relations.group_members(spark, group, strength, {"a": "H1 x", "b": "H2 y", "c": "H1 x", "d": "H1 x"})
+    pairs = spark.createDataFrame([("a", "b", .9), ("a", "d", -.85), ("b", "d", .95), ("a", "c", .1), ("b", "a", .9)], "a string, b string, rho double")
+    row, = relations.group_table(members, pairs).collect()
+    assert tuple(row) == (1, 3, "b", -.4, .85, "H1, H2", "a, d")
+    assert {r.variavel: r.representante for r in members.collect()} == {"a": "b", "b": "b", "d": "b", "c": "c"}
 
 
 def units(n=40, seed=2):

@@ -31,9 +31,16 @@ def test_runs_follow_each_other(spark, ws, tmp_path_factory):
     register = lake.read_register(spark, f"{out}/rede/registro").first()
     assert set(selected) <= {"rede_taxa_ant", "mun_indice_pre_escola", "rede_nome"}
     assert register.variaveis == final.variables and 0 <= register.metricas["auc"] <= 1
+    assert register.validacao_cruzada.keys() == set(pipeline.FOLD_NAMES) and {"auc", "auc_redes_estaveis"} <= register.validacao.keys()
+    report = lambda name: spark.read.option("header", True).csv(f"{out}/rede/reports/{name}")
+    assert {"constante", "modelo final", "só o ciclo anterior"} <= {r.modelo for r in report("avaliacao_teste_rede").collect()}
+    assert {LOGISTIC, FOREST, "só o ciclo anterior"} <= {r.modelo for r in report("validacao_rede").collect()}
+    assert {"todas", "etapa A", "selecionadas"} >= {r.configuracao for r in report("conjuntos_variaveis").collect()} >= {"todas", "etapa A"}
+    model, recipe = pipeline.rebuilt(ws, f"{out}/rede/registro", f"{out}/refeito")
+    assert recipe.family == register.familia and model.variables == final.variables
 
     again = replace(SMALL, reuse_search=True, reuse_curation=True)
-    _, kept = pipeline.model_networks(ws, f"{out}/rede", again, ["rede_taxa_ant"])
+    _, kept = pipeline.curate(ws, f"{out}/rede", again, pipeline.full_design(again), ["rede_taxa_ant"])
     assert kept == selected                                   # read back, not searched again
 
     answers = pipeline.answer_questions(ws, f"{out}/respostas", final, None, SMALL)
@@ -54,4 +61,9 @@ def test_pupil_model_registers_the_chosen_family(spark, ws, tmp_path_factory):
     chosen = pipeline.model_pupils(ws, out, SMALL, design)
     register = lake.read_register(spark, f"{out}/registro").first()
     assert register.familia == chosen and register.variaveis == design.variables
-    assert spark.read.option("header", True).csv(f"{out}/reports/comparacao_modelos").count() == 2
+    table = {r.modelo: r for r in spark.read.option("header", True).csv(f"{out}/reports/comparacao_modelos").collect()}
+    assert table.keys() == {LOGISTIC, FOREST, pipeline.REPEAT, pipeline.CEILING, pipeline.CONSTANT}
+    assert all(r.cv_auc and r.validacao_auc for r in table.values()) and table[pipeline.CEILING].validacao_pct_do_caminho == "100.0"
+    assert {table[f].mesma_ordem for f in (LOGISTIC, FOREST)} in ({"true"}, {"false"}) and table[pipeline.REPEAT].mesma_ordem is None
+    assert spark.read.option("header", True).csv(f"{out}/reports/referencias_logisticas").count() == 2
+    assert register.validacao.keys() == {"auc", "log_loss", "brier"}

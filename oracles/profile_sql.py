@@ -386,7 +386,7 @@ JOIN (SELECT variavel, 100.0::DOUBLE * max(n) / sum(n) AS comum FROM
 LEFT JOIN (SELECT * FROM p_vizinhos WHERE mesmo AND ordem = 1) i ON variavel = i.a
 LEFT JOIN (SELECT * FROM p_vizinhos WHERE NOT mesmo AND ordem = 1) o ON variavel = o.a""",
     "screening_facts": rf"""
-WITH m AS (SELECT m.variavel, m.grao, regexp_extract_all(referencia, '\\b(?:19|20)\\d\\d\\b') AS anos, regexp_extract_all(formula, '\\w+') AS palavras
+WITH m AS (SELECT m.variavel, m.grao, regexp_extract_all(referencia, '\b(?:19|20)\d\d\b') AS anos, regexp_extract_all(formula, '\w+') AS palavras
            FROM (VALUES {META}) m(variavel, hipotese, grao, referencia, formula, papel)
            WHERE m.variavel IN (SELECT variavel FROM p_redes_longa)),
 c AS (SELECT variavel, sum(n) AS n, max(n) AS top FROM (SELECT variavel, valor, count(*) AS n FROM p_redes_longa WHERE valor IS NOT NULL GROUP BY 1, 2) GROUP BY variavel),

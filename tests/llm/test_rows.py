@@ -146,7 +146,7 @@ def test_license_scores_do_not_fall_as_the_table_grows(spark):
 
 def test_full_licence_texts_are_licence_files(spark):
     full = {name: text.replace("<year>", "2019").replace("<copyright holder>", "Ann Lee") for name, text in licenses.full_texts()}
-    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0", "MPL-2.0", "EPL-2.0"} <= full.keys()
+    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "EPL-2.0"} <= full.keys()
     files = [(f"{n}/LICENSE", t) for n, t in full.items()] + [(f"{n}/src/x.py", "plain words") for n in full]
     files += [("own/LICENSE", "My project\n\n" + full["MIT"]), ("own/x", None), ("talk/post", "A post on the MIT license.\n" + "word and more " * 90), ("talk/x", "plain words")]
     got = {r.path: (r.license, r.license_origin, r.license_from) for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}

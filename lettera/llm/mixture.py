@@ -6,8 +6,16 @@ from pyspark.sql import functions as F
 
 from .common import WORD, aside, positions, restored, stored
 
-#: Parts that the order of a source is cut into, by the first hex digits of the order key.
-PARTS_HEX = 3
+#: The order of a source is cut into parts by the first hex digits of the order key: three of them, more once a part of
+#: a source with all rows would hold more than `PART_ROWS`.
+PARTS_HEX, PART_ROWS = 3, 1 << 16
+
+
+def part_digits(rows: int) -> int:
+    digits = PARTS_HEX
+    while rows > PART_ROWS * 16 ** digits:
+        digits += 1
+    return digits
 
 
 def words_of(text: str = "text") -> Column:
@@ -50,32 +58,35 @@ def _not_null(source: str) -> Column:
 
 
 def order_key(seed: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    """Rows without doc_id are spread by size and text, as they may be many."""
+    nobody = F.concat_ws(":", F.lit("null"), F.col("_size").cast("string"), F.col("_tie").cast("string"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), nobody)))
 
 
 #: Columns that `_mixed` works with beside the caller's.
-_OWN = ["_size", "_source", "_key", "_part", "_before", "_inside", "_rate", "_source_size", "_target", "_repeats", "_copy", "_given"]
+_OWN = ["_size", "_source", "_key", "_part", "_before", "_inside", "_rate", "_source_size", "_target", "_repeats", "_copy", "_given", "_tie"]
 
 
 def _mixed(docs: DataFrame, cycle: tuple[int, ...], epochs: float, seed: str, size: str | None) -> DataFrame:
     """`docs` with _size, _source_size, _target and _repeats."""
     names = [c for c in docs.columns if c != "_given"]
-    d = docs.select(*names, (F.col(size) if size else words_of()).alias("_size"))
-    lean = stored(d.select("doc_id", "source", "_size"), "sizes")
+    # rows of one id and size are told apart by their text, as far as it is there, so that reruns take the same
+    tie = F.xxhash64("text") if "text" in docs.columns else F.lit(None).cast("long")
+    d = docs.select(*names, (F.col(size) if size else words_of()).alias("_size"), tie.alias("_tie"))
+    lean = stored(d.select("doc_id", "source", "_size", "_tie"), "sizes")
+    digits = part_digits(lean.count())
     totals = lean.groupBy("source").agg(F.sum("_size").alias("source_size"))
     fill = water_fill(cyclic_weights(totals, cycle), epochs).withColumn(
         "_rate", F.when(F.col("source_size") > 0, F.least(F.lit(float(epochs)), F.col("target") / F.col("source_size")))
         .otherwise(0.0))
     keys = lambda x: (x.withColumn("_source", _not_null("source"))
-                      .withColumn("_key", order_key(seed)).withColumn("_part", F.substring("_key", 1, PARTS_HEX)))
+                      .withColumn("_key", order_key(seed)).withColumn("_part", F.substring("_key", 1, digits)))
     parts = keys(lean).groupBy("_source", "_part").agg(F.sum("_size").alias("_n"))
     parts = parts.withColumn("_before", F.sum("_n").over(Window.partitionBy("_source").orderBy("_part")) - F.col("_n"))
     parts = parts.drop("_n").join(fill.select(_not_null("source").alias("_source"), F.col("source_size").alias("_source_size"),
                                               F.col("target").alias("_target"), "_rate"), "_source")
     d = keys(lean if set(names) <= {"doc_id", "source"} else d)
-    # rows of one id and size are told apart by their text, as far as it is there, so that reruns take the same
-    tie = [F.xxhash64("text")] if "text" in d.columns else []
-    inside = F.sum("_size").over(Window.partitionBy("_source", "_part").orderBy("_key", "_size", *tie)
+    inside = F.sum("_size").over(Window.partitionBy("_source", "_part").orderBy("_key", "_size", "_tie")
                                  .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(parts, ["_source", "_part"], "left")
     whole = F.floor("_rate")
@@ -96,7 +107,8 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), epochs: float = 3.0
     first in a seeded order, up to the fraction that is left: a row is taken if its middle lies
     within it, so a source misses its target by half a document at most. The running sum is cut by
     the order key into parts, each summed first, so a source with a third of all rows is spread over
-    thousands of groups. Rows with equal keys (same doc_id) are ordered by size. Null texts have size
+    thousands of groups. Rows with equal keys (same doc_id) are ordered by size and text; rows without
+    doc_id are spread by size and text. Null texts have size
     0; null sources are one source, after the others; an empty table gives an empty one.
     """
     own = ["size", "source_size", "target", "repeats"]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,9 +103,30 @@ def split_integrity(df: DataFrame, key: str, part: str = "particao") -> DataFram
             .groupBy(key).agg(F.count(part).alias("particoes")).where("particoes > 1"))
 
 
+def uneven_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Groups whose rows do not all have one fingerprint: two numbers per group, whatever the columns. Equal rows have
+    equal fingerprints; different ones share theirs with probability 2^-64."""
+    row = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])     # the hash itself skips nulls
+    return (df.groupBy(*keys).agg(F.min(row).alias("__lo"), F.max(row).alias("__hi"))
+            .where("__lo <> __hi").select(*keys))
+
+
 def group_invariance(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Per column, the groups inside which it varies; a null counts as a value of its own.
 
+    Only groups with different row fingerprints are opened, and none are as a rule.
+    """
+    uneven = uneven_groups(df, keys, columns)
+    if uneven.isEmpty():
+        return df.sparkSession.createDataFrame([(c, 0) for c in columns], "variavel string, grupos_que_variam bigint")
+    uneven = uneven.toDF(*[f"__{k}" for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return varying_groups(df.join(uneven, same, "left_semi"), keys, columns)
+
+
+def varying_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Per column, the groups inside which it varies.
+
     Text columns group along in the first step, which keeps it a hash aggregation with partial
     sums before the shuffle; the second step sees one row per group and text combination.
     """

@@ -6,9 +6,9 @@ measured in one job.
 """
 from __future__ import annotations
 
-import itertools
+import hashlib
 import json
-import random
+import math
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -209,11 +209,36 @@ def cross_validate(folds: Folds, family: str, params: dict, tags: dict,
     return measure(scores, [*tags, "parte"])
 
 
+def permuted(place: int, size: int, seed: int) -> int:
+    """Where a keyed permutation of 0..size-1 puts `place`: Feistel rounds on the two digits of the least square that
+    holds `size`, repeated until the result falls inside."""
+    base = math.isqrt(size - 1) + 1
+    while True:
+        left, right = divmod(place, base)
+        for turn in range(4):
+            key = hashlib.md5(f"{seed}|{turn}|{right}".encode()).hexdigest()
+            left, right = right, (left + int(key, 16)) % base
+        place = left * base + right
+        if place < size:
+            return place
+
+
 def draw(space: dict, n: int, seed: int) -> list[dict]:
-    """`n` different combinations of a grid, seeded; the whole grid when it is smaller."""
+    """`n` different combinations of a grid, seeded; the whole grid when it is smaller.
+
+    A combination is a number whose digits choose the values, so the grid itself is never built.
+    """
     names = sorted(space)
-    grid = [dict(zip(names, values)) for values in itertools.product(*[space[k] for k in names])]
-    return grid if len(grid) <= n else random.Random(seed).sample(grid, n)
+    size = math.prod(len(space[k]) for k in names)
+
+    def combination(number: int) -> dict:
+        chosen = {}
+        for k in reversed(names):
+            number, digit = divmod(number, len(space[k]))
+            chosen[k] = space[k][digit]
+        return {k: chosen[k] for k in names}
+
+    return [combination(i if n >= size else permuted(i, size, seed)) for i in range(min(n, size))]
 
 
 def search(folds_of: dict[bool, Folds], spaces: dict = SPACES, seed: int = 42, parallelism: int = 4) -> DataFrame:

@@ -59,10 +59,37 @@ def value_counts(df: DataFrame, value: str, partition: Sequence[str] = (),
     return df.where(there).groupBy(*partition, value).agg(w.alias("n"))
 
 
+CROWDED, PIECE, MOST = 2048, 512, 1 << 16
+
+
+def split_crowded(counts: DataFrame, value: str, partition: Sequence[str] = (), levels: int = 0) -> tuple[DataFrame, list[str]]:
+    """`counts` with bucket columns that follow the values, and their names.
+
+    The first is `value_bucket`. A bucket with more than `CROWDED` distinct values, such as one that holds all
+    timestamps of a day, is cut evenly between its least and greatest value into pieces of `PIECE` values on average, and
+    so again at each further level. The results are the same at any level; a level costs one more sum and join, which takes
+    about a fifth of the time on small tables, so columns that fill their octaves (rates, shares, counts) go without.
+    """
+    number = F.col(value).cast("double")
+    names, d = ["__k0"], counts.withColumn("__k0", value_bucket(value))
+    for level in range(1, levels + 1):
+        keys = [*partition, *names]
+        crowded = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__m"), F.min(number).alias("__low"), F.max(number).alias("__high"))
+                   .where((F.col("__m") > CROWDED) & (F.col("__low") < F.col("__high"))))
+        piece = F.floor((number - F.col("__low")) / (F.col("__high") - F.col("__low"))
+                        * F.least(F.ceil(F.col("__m") / PIECE), F.lit(MOST)))
+        names = [*names, f"__k{level}"]
+        d = (d.join(crowded, keys, "left").withColumn(names[-1], F.coalesce(piece, F.lit(0)))
+             .drop("__m", "__low", "__high"))
+    return d, names
+
+
 def cumulated_counts(df: DataFrame, value: str, partition: Sequence[str] = (),
-                     weight: str | None = None) -> DataFrame:
-    counts = value_counts(df, value, partition, weight)
-    return cumulate(counts, "n", [value_bucket(value)], [F.col(value)], partition)
+                     weight: str | None = None, levels: int = 0) -> DataFrame:
+    """Distinct values with their count and the rows before them. `levels` (1 or 2) is for values in a narrow range far
+    from zero, such as timestamps or running keys; see `split_crowded`."""
+    counts, names = split_crowded(value_counts(df, value, partition, weight), value, partition, levels)
+    return cumulate(counts, "n", [F.col(k) for k in names], [F.col(value)], partition).drop(*names)
 
 
 def quantile_columns(value: str, probs: dict[str, float], n: str = "n") -> list[Column]:
@@ -80,25 +107,25 @@ def quantile_columns(value: str, probs: dict[str, float], n: str = "n") -> list[
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float],
               partition: Sequence[str] = (), weight: str | None = None,
-              extra: Sequence[Column] = ()) -> DataFrame:
+              extra: Sequence[Column] = (), levels: int = 0) -> DataFrame:
     """Exact percentiles of `value` per partition, one row each.
 
     Unlike the built-in exact percentile, whose buffer keeps every distinct value of a group in
     one task, this spreads the distinct values over buckets. `extra` aggregates run on the
     cumulated counts (`n`, `cum_before`, `cum_total`).
     """
-    cum = cumulated_counts(df, value, partition, weight)
+    cum = cumulated_counts(df, value, partition, weight, levels)
     return cum.groupBy(*partition).agg(*quantile_columns(value, probs), *extra)
 
 
 def average_ranks(df: DataFrame, value: str, partition: Sequence[str] = (),
-                  weight: str | None = None) -> DataFrame:
+                  weight: str | None = None, levels: int = 0) -> DataFrame:
     """Distinct values with their mean rank (ties share it), centred and scaled by N.
 
     Correlation does not depend on centre or scale, and a rank in [-0.5, 0.5] keeps the sums
     of squares exact enough for billions of rows.
     """
-    cum = cumulated_counts(df, value, partition, weight)
+    cum = cumulated_counts(df, value, partition, weight, levels)
     rank = F.col(BEFORE) + (F.col("n") + 1) / F.lit(2.0)
     centred = (rank - (F.col(TOTAL) + 1) / F.lit(2.0)) / F.col(TOTAL)
     return cum.select(*partition, value, rank.alias("rank"), centred.alias("rank_c"))
@@ -113,13 +140,13 @@ def hash_positions(keys: DataFrame, key: str, salt, name: str = "pos") -> DataFr
 
 
 def tied_positions(df: DataFrame, value: str, tie: str, amount: str,
-                   partition: Sequence[str] = ()) -> DataFrame:
+                   partition: Sequence[str] = (), levels: int = 0) -> DataFrame:
     """Positions along (`value`, hash of `tie`, `tie`) with rows standing for `amount` units.
 
     Done in two steps, because one value may be shared by a large part of the rows: first where
     each distinct value starts, then the place among its ties, spread by hash prefix.
     """
-    starts = cumulated_counts(df, value, partition, amount).select(
+    starts = cumulated_counts(df, value, partition, amount, levels).select(
         *partition, value, F.col(BEFORE).alias("__start"), F.col(TOTAL).alias("__total"))
     d = df.where(F.col(value).isNotNull()).withColumn("__h", F.md5(F.col(tie)))
     d = cumulate(d, amount, [F.substring("__h", 1, 2)], [F.col("__h"), F.col(tie)],
@@ -135,13 +162,13 @@ def whole_div(a, b) -> Column:
 
 
 def equal_frequency_bins(df: DataFrame, value: str, tie: str, amount: str, n: int,
-                         partition: Sequence[str] = ()) -> DataFrame:
+                         partition: Sequence[str] = (), levels: int = 0) -> DataFrame:
     """Split rows over `n` equal-frequency bins; adds `faixa` (1..n) and `in_bin` units.
 
     A row that stands for several identical units and crosses an edge is shared out exactly, so
     the result equals binning every unit on its own.
     """
-    pos = tied_positions(df, value, tie, amount, partition)
+    pos = tied_positions(df, value, tie, amount, partition, levels)
     first, last = F.col(BEFORE), F.col(BEFORE) + F.col(amount) - 1
     span = F.col(TOTAL) - 1
     # bin of a zero-based position: ceil(pos * n / (N - 1)), at least 1, in whole numbers

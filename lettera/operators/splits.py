@@ -2,7 +2,7 @@
 groups always give the same answer, whatever the partitioning of the data."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import TEST, TRAIN, VALID
@@ -27,6 +27,21 @@ def group_folds(df: DataFrame, key: str, seed: int, folds: int) -> DataFrame:
         key, ((F.col("pos") - 1) % folds).cast("int").alias("fold"))
 
 
+PREFIX = 4      # hexadecimal digits: at most 65,536 buckets
+
+
 def sample_rows(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
-    """`n` rows in hash order: a seeded draw that needs no shuffle of the whole table."""
-    return df.orderBy(hash_text(key, f"amostra{seed}"), key).limit(n)
+    """Exactly `n` rows (all, if there are fewer), those with the smallest seeded hash of `key`, which names a row.
+
+    The hash threshold comes from row counts by hash prefix. Rows below it are taken where they lie; only the rows
+    of the one prefix that the threshold cuts are put in order.
+    """
+    d = df.withColumn("__h", F.coalesce(hash_text(key, f"amostra{seed}"), F.lit(""))) \
+          .withColumn("__b", F.substring("__h", 1, PREFIX))
+    counts = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    ahead = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = counts.withColumn("__left", F.lit(n) - F.coalesce(F.sum("__n").over(ahead), F.lit(0))).where("__left > 0")
+    d = d.join(F.broadcast(wanted), "__b")      # at most 65,536 rows
+    place = F.row_number().over(Window.partitionBy("__b").orderBy("__h", key))
+    cut = d.where("__n > __left").withColumn("__place", place).where("__place <= __left")
+    return d.where("__n <= __left").select(*df.columns).unionByName(cut.select(*df.columns))

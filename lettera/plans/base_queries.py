@@ -11,7 +11,7 @@ from ..functions.metadata import (CATEGORICAL, FEATURES, NOT_FEATURES, NUMERIC,
 from ..operators import context as ctx
 from ..operators import guards
 from ..operators.prepare import weighted_groups
-from ..operators.splits import group_folds
+from ..operators.splits import group_folds, sample_rows
 from ..sources import geojson, lake
 from .workspace import REGIONS, UNIT, Workspace
 
@@ -203,6 +203,11 @@ def split_balance(ws):
         F.count_if(F.col("particao").isNull()).alias("sem_particao"))
 
 
+def seeded_sample(ws):
+    """A seeded draw of a hundred networks."""
+    return sample_rows(ws.redes, "unidade", ws.cycle.seed, 100).select("unidade", "sigla_uf", "alunos")
+
+
 def check_group_invariance(ws):
     abt = ws.abt()
     return guards.group_invariance(abt, ["particao", *UNIT], [*NUMERIC, "sigla_uf", "nome_regiao"])
@@ -320,6 +325,7 @@ QUERIES = {
     "audit_leakage": audit_leakage,
     "audit_constant": audit_constant,
     "audit_target_corr": audit_target_corr,
+    "seeded_sample": seeded_sample,
     "check_split_integrity": check_split_integrity,
     "split_balance": split_balance,
     "check_group_invariance": check_group_invariance,

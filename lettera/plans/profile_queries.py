@@ -443,7 +443,25 @@ def standardize(ws):
     return rounded(prepare.standardize(d, scaling, cols).select("unidade", *cols))
 
 
+def z_scores(ws):
+    """Every numeric variable in standard scores, for comparing shapes."""
+    d = prepare.zscore(ws.redes, NUMERIC)
+    return rounded(prepare.to_long(d, NUMERIC, ["unidade"]).where("valor is not null"))
+
+
+def prepared_matrix(ws):
+    """All prepared columns of a linear model over all variables: indicators, medians of train by state with the national
+    one behind, logarithm, scaling, one column per level of train."""
+    logged = ["mun_populacao", "mun_densidade_demografica"]
+    prep = prepare.Preparation(prepare.Design(NUMERIC, CATEGORICAL, INDICATORS, logged), linear=True)
+    prep.fit(ws.redes.where("particao = 'treino'"))
+    d = prepare.to_long(prep.prepared(ws.redes), prep.columns(), ["unidade"])
+    return rounded(d.where("valor is not null"))
+
+
 QUERIES = {
+    "z_scores": z_scores,
+    "prepared_matrix": prepared_matrix,
     "near_cutoff_share": near_cutoff_share,
     "response_by_group": response_by_group,
     "describe_by_group": describe_by_group,

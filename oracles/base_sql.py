@@ -61,6 +61,9 @@ FROM c_economia""",
     "partitioned_write": """
 SELECT d AS data_processamento, (SELECT count(*) FROM c_porte_rede) AS linhas, 0::BIGINT AS sem_horario
 FROM (VALUES ('2024-03-01'), ('2024-03-02')) x(d)""",
+    "seeded_sample": """
+SELECT id_municipio || '/' || rede_nome AS unidade, sigla_uf, alunos FROM c_redes
+ORDER BY md5(id_municipio || '/' || rede_nome || '|amostra42'), 1 LIMIT 100""",
     "write_reconcile": """
 SELECT count(*) AS linhas_gravadas, count(*) AS linhas_relidas, true AS confere
 FROM c_populacao_alvo WHERE ano = 2000""",

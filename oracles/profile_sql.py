@@ -397,6 +397,34 @@ f AS (SELECT m.variavel, 1 - coalesce(c.n, 0) / (SELECT count(*) FROM c_redes WH
       FROM m LEFT JOIN c ON c.variavel = m.variavel)
 SELECT variavel, {r('ausentes', 'ausentes')}, {r('mais_comum', 'mais_comum')}, tem_formula, fora_da_rede, idade,
        (dense_rank() OVER (ORDER BY tem_formula, fora_da_rede, idade, ausentes))::INTEGER AS posto FROM f""",
+    "z_scores": f"""
+SELECT unidade, variavel, round(CASE WHEN s > 0 THEN (valor - m) / s ELSE 0 END, 6) AS valor FROM (
+  SELECT id_municipio || '/' || rede_nome AS unidade, variavel, valor, avg(valor) OVER w AS m, stddev_samp(valor) OVER w AS s
+  FROM (SELECT id_municipio, rede_nome, {COLS} FROM c_redes) UNPIVOT (valor FOR variavel IN ({NAMES}))
+  WINDOW w AS (PARTITION BY variavel))""",
+    "prepared_matrix": f"""
+WITH longa AS (SELECT * FROM (SELECT id_municipio || '/' || rede_nome AS unidade, sigla_uf AS uf, particao, {COLS} FROM c_redes)
+               UNPIVOT INCLUDE NULLS (valor FOR variavel IN ({NAMES}))),
+por_uf AS (SELECT uf, variavel, median(valor) AS m FROM longa WHERE particao = 'treino' AND uf IS NOT NULL GROUP BY uf, variavel),
+pais AS (SELECT variavel, median(valor) AS m FROM longa WHERE particao = 'treino' GROUP BY variavel),
+cheia AS (
+  SELECT l.unidade, l.particao, l.variavel AS coluna,
+         CASE WHEN l.variavel IN ('mun_populacao', 'mun_densidade_demografica') THEN ln(1 + coalesce(l.valor, u.m, p.m))
+              ELSE coalesce(l.valor, u.m, p.m) END AS x
+  FROM longa l LEFT JOIN por_uf u ON u.uf = l.uf AND u.variavel = l.variavel LEFT JOIN pais p ON p.variavel = l.variavel
+  UNION ALL
+  SELECT l.unidade, l.particao, i.nome, (l.valor IS NULL)::DOUBLE
+  FROM longa l JOIN (VALUES {', '.join(f"('{n}', '{v}')" for n, v in INDICATORS.items())}) i(nome, variavel) ON i.variavel = l.variavel),
+escala AS (SELECT coluna, avg(x) AS m, CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END AS s
+           FROM cheia WHERE particao = 'treino' GROUP BY coluna),
+categorias AS (SELECT * FROM (SELECT id_municipio || '/' || rede_nome AS unidade, particao, rede_nome, sigla_uf, nome_regiao FROM c_redes)
+               UNPIVOT INCLUDE NULLS (nivel FOR variavel IN ({', '.join(CATEGORICAL)}))),
+niveis AS (SELECT variavel, nivel, row_number() OVER (PARTITION BY variavel ORDER BY nivel) - 1 AS lugar
+           FROM (SELECT DISTINCT variavel, nivel FROM categorias WHERE particao = 'treino' AND nivel IS NOT NULL))
+SELECT unidade, coluna AS variavel, round((x - m) / s, 6) AS valor FROM cheia JOIN escala USING (coluna) WHERE x IS NOT NULL AND m IS NOT NULL
+UNION ALL
+SELECT c.unidade, n.variavel || '__' || n.lugar, coalesce(c.nivel = n.nivel, false)::INTEGER::DOUBLE
+FROM categorias c JOIN niveis n ON n.variavel = c.variavel""",
     "missing_indicators": "SELECT id_municipio || '/' || rede_nome AS unidade, " + ", ".join(
         f"({v} IS NULL)::INTEGER AS {n}" for n, v in INDICATORS.items()) + " FROM c_redes",
     "one_hot": "SELECT id_municipio || '/' || rede_nome AS unidade, " + ", ".join(

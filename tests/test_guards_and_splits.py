@@ -1,8 +1,11 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from lettera.constants import CONTRACT
 from lettera.operators import guards as G
+from lettera.operators import modeling
 from lettera.operators.prepare import weighted_groups
 from lettera.operators.splits import group_folds, sample_rows, split_by_group
 from lettera.sources.lake import StopRun
@@ -110,3 +113,35 @@ def test_sample_is_seeded(spark):
     d = spark.createDataFrame([(f"m{i}",) for i in range(200)], "id string")
     a = {r.id for r in sample_rows(d, "id", 1, 20).collect()}
     assert a == {r.id for r in sample_rows(d.repartition(9), "id", 1, 20).collect()} and len(a) == 20
+
+
+def test_groups_are_opened_only_where_rows_differ(spark):
+    rows = [(None, 1, "a", None), (None, 1, "a", None), (1, 1, "a", None), (1, 1, None, "a"), (2, 3, "x", "y"), (2, 4, "x", "y")]
+    d = spark.createDataFrame(rows, "k int, n int, s string, t string")
+    assert sorted(r.k for r in G.uneven_groups(d, ["k"], ["n", "s", "t"]).collect()) == [1, 2]
+    for columns in (["n", "s", "t"], ["n"], ["s"]):
+        got = {r.variavel: r.grupos_que_variam for r in G.group_invariance(d, ["k"], columns).collect()}
+        want = {c: sum(len({r[" nst".index(c[0])] for r in rows if r[0] == k}) > 1 for k in (None, 1, 2)) for c in columns}
+        assert got == want
+    even = G.group_invariance(d.where("k is null"), ["k"], ["n", "s"])
+    assert {r.variavel: r.grupos_que_variam for r in even.collect()} == {"n": 0, "s": 0}
+    assert G.group_invariance(d.limit(0), ["k"], ["n"]).first().grupos_que_variam == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 500, 501])
+def test_seeded_sample_is_exact_and_repeatable(spark, n):
+    d = spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("__other"))
+    want = sorted((hashlib.md5(f"{i}|amostra7".encode()).hexdigest(), str(i)) for i in range(500))[:n]
+    for parts in (1, 5):
+        got = sample_rows(d.repartition(parts), "k", 7, n)
+        assert got.columns == d.columns and {r.k for r in got.collect()} == {k for _, k in want}
+
+
+def test_parameter_draws_are_a_permutation_of_the_grid():
+    for size in (1, 2, 7, 120, 1000):
+        assert sorted(modeling.permuted(i, size, 5) for i in range(size)) == list(range(size))
+    space = {"a": [1, 2, 3], "b": ["x", "y"], "c": list(range(20))}
+    drawn = modeling.draw(space, 50, 1)
+    assert len({tuple(d.items()) for d in drawn}) == 50 and all(d[k] in space[k] for d in drawn for k in space)
+    assert drawn[:10] == modeling.draw(space, 10, 1) != modeling.draw(space, 10, 2)
+    assert len({tuple(d.items()) for d in modeling.draw(space, 500, 1)}) == 120

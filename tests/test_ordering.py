@@ -91,3 +91,28 @@ def test_hash_positions_cover_every_place_whatever_the_layout(spark):
     assert a == b and sorted(a.values()) == list(range(1, 501))
     want = sorted(a, key=lambda k: (hashlib.md5(f"{k}|42".encode()).hexdigest(), k))
     assert [k for k, _ in sorted(a.items(), key=lambda kv: kv[1])] == want
+
+
+@pytest.mark.parametrize("levels, least", [(0, 1), (1, 100), (2, 100)])
+def test_buckets_follow_a_narrow_range(spark, levels, least):
+    """A day's timestamps in seconds share one bucket of the logarithm."""
+    seconds = spark.range(100_000).select((F.col("id") + 1_700_000_000).alias("v"), F.lit(1).alias("n"))
+    d, names = O.split_crowded(seconds, "v", [], levels)
+    sizes = d.groupBy(*names).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy(*names).collect()
+    assert len(sizes) >= least and (levels == 0 or max(r.n for r in sizes) <= O.CROWDED)
+    assert all(a.hi < b.lo for a, b in zip(sizes, sizes[1:]))
+
+
+def test_a_cluster_inside_a_narrow_range_is_cut_again(spark):
+    """Nearly all values lie in one piece of the first level; the results do not depend on the levels."""
+    v = F.when(F.col("id") < 20, F.col("id") * 1e5).otherwise(F.col("id") / 1e4) + 1e11
+    d = spark.range(30_000).select(v.alias("v"), (F.col("id") % 3).alias("n"))
+    most = []
+    for levels in (0, 1, 2):
+        cut, names = O.split_crowded(d, "v", [], levels)
+        most.append(cut.groupBy(*names).count().agg(F.max("count")).first()[0])
+    assert most[2] <= O.CROWDED < most[1] <= most[0]
+    ranks = [O.average_ranks(d, "v", weight="n", levels=k).orderBy("v").collect() for k in (0, 2)]
+    assert ranks[0] == ranks[1]
+    got = O.quantiles(d, "v", {"m": .5}, levels=2).first().m
+    assert got == pytest.approx(d.select(F.median("v")).first()[0], rel=1e-15)

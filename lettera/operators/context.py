@@ -47,10 +47,12 @@ def municipal_context(indicador: DataFrame, cycle: Cycle, source: str = "oficial
         "mun_gap_meta", F.col("mun_meta_ciclo") - F.col("mun_taxa_ant"))
 
 
-def enrollment_size(alunos: DataFrame, cycle: Cycle) -> tuple[DataFrame, DataFrame]:
-    """Registered pupils (present or not) per network and per municipality."""
+def enrollment_size(alunos: DataFrame, cycle: Cycle, rows: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Registered pupils (present or not) per network and per municipality; `rows` names the count of
+    pupils where they come summed."""
     now = alunos.where(F.col("ano") == cycle.target)
-    by_net = now.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("rede_porte_atual"))
+    by_net = now.groupBy(*UNIT).agg(
+        (F.sum(rows) if rows else F.count(F.lit(1))).alias("rede_porte_atual"))
     by_mun = by_net.groupBy("id_municipio").agg(
         F.sum("rede_porte_atual").alias("mun_porte_atual"))
     return by_net, by_mun

@@ -46,7 +46,7 @@ def build_base(ws: Workspace, out: str, day: str | None = None) -> DataFrame:
     t = ws.tables
     have = {"alunos": ws.alunos, "municipio": t.municipio(), "indicador_municipio": t.indicador_municipio()}
     guards.enforce(guards.contract(ws.spark, have, CONTRACT).where("situacao <> 'ok'"), "contract")
-    for label, df, keys in ws.sources():
+    for label, df, keys in ws.stored_sources:
         guards.enforce(guards.duplicate_keys(df, keys), f"duplicate keys in {label}")
     abt, units = ws.abt(), ws.units
     guards.enforce(guards.leakage(ws.spark, FEATURES, abt.columns, CATEGORICAL).where("situacao <> 'ok'"),

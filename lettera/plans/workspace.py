@@ -8,6 +8,8 @@ shared folder once per application and read from there, like the stored base tab
 from __future__ import annotations
 
 import hashlib
+import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from ..functions.metadata import FEATURES
 from ..operators import context as ctx
 from ..operators.splits import split_by_group
 from ..sources.demo import DemoTables
-from ..sources.lake import materialize_if_stale, run_folder
+from ..sources.lake import bucketed_if_absent, materialize_if_stale, run_folder
 
 REGIONS = {"1": "AFRICA", "2": "AMERICA", "3": "ASIA", "4": "EUROPE", "5": "MIDDLE EAST"}
 SEWAGE, WATER = "ECONOMY", "F"
@@ -29,7 +31,7 @@ UNIT = ctx.UNIT
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, cycle: Cycle = DEMO):
         self.spark, self.sf_dir, self.cycle = spark, sf_dir, cycle
-        self.tables = DemoTables(spark, sf_dir)
+        self.tables = DemoTables(spark, sf_dir, self.stored)
 
     @cached_property
     def alunos(self) -> DataFrame:
@@ -47,7 +49,8 @@ class Workspace:
 
     @cached_property
     def enrollment(self) -> tuple[DataFrame, DataFrame]:
-        return ctx.enrollment_size(self.alunos_now, self.cycle)
+        c = self.cycle
+        return ctx.enrollment_size(self.tables.matriculas([c.target]), c, "todos")
 
     @cached_property
     def census(self) -> DataFrame:
@@ -56,7 +59,7 @@ class Workspace:
                                      REGIONS, SEWAGE, WATER)
 
     def sources(self) -> list[tuple[str, DataFrame, list[str]]]:
-        """Every source that is joined, with the key of its own grain."""
+        """Every source that is joined, with the key of its own grain; plans, not yet run."""
         t, c = self.tables, self.cycle
         before = [c.previous]
         by_net, by_mun = self.enrollment
@@ -79,20 +82,37 @@ class Workspace:
                 t.sinasc(), t.escola([c.preschool_year]), c), UNIT[:1]),
         ]
 
+    @cached_property
+    def stored_sources(self) -> list[tuple[str, DataFrame, list[str]]]:
+        """The same sources, each run once and kept in buckets of its own key.
+
+        The plans are made in this thread, which writes the sums they share; then the writes, which
+        do not depend on each other, run side by side.
+        """
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        app = re.sub(r"\W", "_", self.spark.sparkContext.applicationId)
+
+        def keep(numbered):
+            n, (label, df, keys) = numbered
+            name = f"fonte_{n:02d}"
+            return label, bucketed_if_absent(
+                self.spark, run_folder(self.spark, "ml", name, self.key),
+                f"lettera_{app}_{self.key}_{name}", lambda: df, keys, buckets), keys
+
+        with ThreadPoolExecutor(4) as pool:
+            return list(pool.map(keep, enumerate(self.sources())))
+
     def unit_context(self) -> DataFrame:
         """All features, one row per municipality and network of the cycle.
 
-        Sources of the same grain are joined with each other first: most come out of an
-        aggregation by that very key, so their joins need no further shuffle, and only one join
-        crosses from the municipality to the network. The sources are small next to the pupils
-        but grow with the number of municipalities; none is broadcast by hand, Spark does so
-        where the size allows.
+        Sources of the same grain are joined with each other first: they lie in buckets of that
+        very key, so their joins need no shuffle, and only one join crosses from the municipality
+        to the network. The sources are small next to the pupils but grow with the number of
+        municipalities; none is broadcast by hand, Spark does so where the size allows.
         """
-        by_net, by_mun = self.enrollment
-        net, mun = by_net, by_mun
-        for label, df, keys in self.sources():
-            if label.startswith("porte"):
-                continue
+        found = {label: (df, keys) for label, df, keys in self.stored_sources}
+        net, mun = found.pop("porte da rede")[0], found.pop("porte do município")[0]
+        for df, keys in found.values():
             if keys == UNIT:
                 net = net.join(df, keys, "left")
             else:
@@ -101,7 +121,7 @@ class Workspace:
         return ctx.derived_columns(net.join(mun, "id_municipio"))
 
     def split(self) -> DataFrame:
-        pupils = self.alunos_now.where("presente")
+        pupils = self.tables.matriculas([self.cycle.target]).where("presentes > 0")
         return split_by_group(pupils, "id_municipio", self.cycle.seed)
 
     def abt(self) -> DataFrame:

@@ -27,8 +27,10 @@ def hundredths(c: str):
 class DemoTables:
     """Views over one folder of test tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, store=None):
+        """`store(name, build)` keeps a table that several sources read, as `Workspace.stored` does; without it
+        each source plans the table anew."""
+        self.spark, self.sf_dir, self.store = spark, sf_dir, store
 
     def raw(self, name: str) -> DataFrame:
         return read_clean(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
@@ -62,6 +64,28 @@ class DemoTables:
             d = d.where((F.col("l_shipdate") >= start) & (F.col("l_shipdate") < end))
         return d.withColumn("ano", F.year("l_shipdate"))
 
+    # -- one scan for all sources that are sums ------------------------------------------------
+    def facts(self, years=None) -> DataFrame:
+        """Order lines summed by supplier, year and both flags: what most sources read in place of the lines."""
+        d = self.store("fatos", self._fact_sums) if self.store else self._fact_sums()
+        return d.where(F.col("ano").between(min(years), max(years))) if years else d
+
+    def _fact_sums(self) -> DataFrame:
+        price, w, kind = F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_partkey") % 3
+        present = F.col("l_discount") > 0
+        right = present & (price >= 50000.0)
+        return self.lines().groupBy("l_suppkey", "ano", "l_returnflag", "l_linestatus").agg(
+            F.count(F.lit(1)).alias("linhas"), F.count_if(present).alias("presentes"),
+            F.sum(F.when(right, w)).alias("wy"), F.sum(F.when(present, w)).alias("w"),
+            F.sum(F.when(present, hundredths("l_extendedprice"))).alias("score"),
+            F.sum(w).alias("quantidade"), F.count(w).alias("n_quantidade"),
+            F.sum(price).alias("pib"), F.sum(price * 0.5).alias("va"),
+            F.sum(F.when(kind == 0, price * 0.5)).alias("va_agropecuaria"),
+            F.sum(F.when(kind == 1, price * 0.5)).alias("va_servicos"),
+            F.sum(hundredths("l_tax")).alias("imposto"), F.count("l_tax").alias("n_imposto"),
+            F.sum(hundredths("l_discount")).alias("desconto"),
+            F.count("l_discount").alias("n_desconto"))
+
     # -- assessment -------------------------------------------------------------------------
     def alunos(self, cut: float = 50000.0, years=None) -> DataFrame:
         present = F.col("l_discount") > 0
@@ -76,21 +100,21 @@ class DemoTables:
             "ano", "id_municipio", "rede_nome", "presente", "alfabetizado", "proficiencia",
             "peso_aluno")
 
+    def matriculas(self, years=None) -> DataFrame:
+        """Pupils registered and present per year and network, summed."""
+        d = self.facts(years).groupBy("ano", "l_suppkey", "l_returnflag").agg(
+            F.sum("linhas").alias("todos"), F.sum("presentes").alias("presentes"))
+        return self.with_place(d).select(
+            "ano", "id_municipio", recode("l_returnflag", FLAG_TO_NETWORK).alias("rede_nome"),
+            "todos", "presentes")
+
     def _cycle_sums(self, years=None) -> DataFrame:
         """Public networks per year and place: code '2', '3', and '5' for both together."""
-        present = F.col("l_discount") > 0
-        right = present & (F.col("l_extendedprice") >= 50000.0)
-        w = F.col("l_quantity")
-        by_net = (self.lines(years).where(F.col("l_returnflag").isin("A", "R"))
-                  .groupBy("l_suppkey", "ano", "l_returnflag")
-                  .agg(F.sum(F.when(right, w)).alias("wy"), F.sum(F.when(present, w)).alias("w"),
-                       F.sum(F.when(present, hundredths("l_extendedprice"))).alias("score"),
-                       F.count_if(present).alias("presentes"),
-                       F.count(F.lit(1)).alias("todos")))
         codes = F.explode(F.array(recode("l_returnflag", FLAG_TO_CODE), F.lit("5")))
-        return (by_net.withColumn("rede", codes).groupBy("l_suppkey", "ano", "rede")
-                .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
-                       for c in ("wy", "w", "score", "presentes", "todos")])
+        sums = {"wy": "wy", "w": "w", "score": "score", "presentes": "presentes", "todos": "linhas"}
+        return (self.facts(years).where(F.col("l_returnflag").isin("A", "R"))
+                .withColumn("rede", codes).groupBy("l_suppkey", "ano", "rede")
+                .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items()])
                 .where("presentes > 0"))
 
     def municipio(self, years=None) -> DataFrame:
@@ -175,16 +199,13 @@ class DemoTables:
 
     # -- economy, atlas, violence -----------------------------------------------------------
     def pib(self, years=None) -> DataFrame:
-        price, key = F.col("l_extendedprice"), F.col("l_partkey")
-        d = self.lines(years).groupBy("ano", "l_suppkey").agg(
-            F.sum(price).alias("pib"), F.sum(price * 0.5).alias("va"),
-            F.sum(F.when(key % 3 == 0, price * 0.5)).alias("va_agropecuaria"),
-            F.sum(F.when(key % 3 == 1, price * 0.5)).alias("va_servicos"))
+        d = self.facts(years).groupBy("ano", "l_suppkey").agg(
+            *[F.sum(c).alias(c) for c in ("pib", "va", "va_agropecuaria", "va_servicos")])
         return self.with_place(d)
 
     def populacao(self, years=None) -> DataFrame:
-        d = self.lines(years).groupBy("ano", "l_suppkey").agg(
-            (F.sum("l_quantity") * 10).cast("bigint").alias("populacao"))
+        d = self.facts(years).groupBy("ano", "l_suppkey").agg(
+            (F.sum("quantidade") * 10).cast("bigint").alias("populacao"))
         return self.with_place(d)
 
     def adh(self) -> DataFrame:
@@ -201,11 +222,12 @@ class DemoTables:
             part("desloc", 300, 10).alias("taxa_vulner_desloc_1_hora"))
 
     def avs(self, years=None) -> DataFrame:
-        d = self.lines(years).where(F.col("l_suppkey") % 11 != 0) \
+        mean = lambda c: F.try_divide(F.sum(c).cast("double"), F.sum(f"n_{c}"))
+        d = self.facts(years).where(F.col("l_suppkey") % 11 != 0) \
             .groupBy("ano", "l_suppkey", "l_linestatus").agg(
-                (F.avg(hundredths("l_tax")) / 10).alias("ivs"),
-                (F.avg(hundredths("l_discount")) / 10).alias("ivs_infraestrutura_urbana"),
-                (F.avg("l_quantity") / 50).alias("ivs_capital_humano"))
+                (mean("imposto") / 10).alias("ivs"),
+                (mean("desconto") / 10).alias("ivs_infraestrutura_urbana"),
+                (mean("quantidade") / 50).alias("ivs_capital_humano"))
         return self.with_place(d)
 
     def sim(self) -> DataFrame:
@@ -224,9 +246,9 @@ class DemoTables:
 
     # -- demographic census -----------------------------------------------------------------
     def censo_municipio(self) -> DataFrame:
-        d = self.lines().groupBy("l_suppkey").agg(
-            F.sum("l_quantity").cast("bigint").alias("populacao"),
-            F.count(F.lit(1)).alias("domicilios"))
+        d = self.facts().groupBy("l_suppkey").agg(
+            F.sum("quantidade").cast("bigint").alias("populacao"),
+            F.sum("linhas").alias("domicilios"))
         d = self.places().join(d, F.col("s_suppkey") == F.col("l_suppkey"))
         return d.select("id_municipio", "sigla_uf", "populacao", "domicilios",
                         (h("s_suppkey", "area") % 400).alias("area"),
@@ -242,8 +264,8 @@ class DemoTables:
         return self.with_place(d)
 
     def censo_agua(self) -> DataFrame:
-        d = self.lines().groupBy("l_suppkey", F.col("l_linestatus").alias("tipo_ligacao_rede_geral")) \
-            .agg(F.sum("l_quantity").cast("bigint").alias("populacao"))
+        d = self.facts().groupBy("l_suppkey", F.col("l_linestatus").alias("tipo_ligacao_rede_geral")) \
+            .agg(F.sum("quantidade").cast("bigint").alias("populacao"))
         return self.with_place(d)
 
     # -- teachers, families, births ---------------------------------------------------------

@@ -88,6 +88,20 @@ def materialize_if_stale(spark: SparkSession, path: str, build: Callable[[], Dat
     return read_clean(spark.read.parquet(path)), "consultada"
 
 
+def bucketed_if_absent(spark: SparkSession, path: str, table: str, build: Callable[[], DataFrame],
+                       keys: Sequence[str], buckets: int) -> DataFrame:
+    """A result kept as files in `buckets` hash buckets of `keys`, so that joins and groupings on just these keys
+    read it without a shuffle. `table` is its entry in the session's catalog; the files lie under `path`.
+
+    Rows are dealt by the same hash before the write, one task a bucket: n files, not n per task. A write that
+    ended early has no `_SUCCESS` and is done again.
+    """
+    if not (spark.catalog.tableExists(table) and path_exists(spark, f"{path}/_SUCCESS")):
+        (build().repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+         .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return read_clean(spark.table(table))
+
+
 def write_snapshot(df: DataFrame, root: str, day: str | None = None) -> dict:
     """Write one snapshot, replacing only that day's partition.
 

@@ -27,6 +27,31 @@ def test_years_and_columns_reach_the_scan(ws):
     assert "l_extendedprice" not in scan and "l_tax" not in scan
 
 
+def test_base_tables_scan_the_order_lines_six_times(ws):
+    ws.tables.facts()
+    plans = [ws.tables._fact_sums(), ws.pupil_sums(), ws.split(), *(df for _, df, _ in ws.sources())]
+    scans = [sum("Scan parquet" in line and "lineitem" in line for line in plan(d).splitlines()) for d in plans]
+    # facts, pupils, then census, classes, sewage and pre-school, which need more than the sums
+    assert sum(scans) <= 6, scans
+
+
+def test_stored_sources_are_joined_and_tested_without_a_shuffle(ws, spark):
+    from lettera.operators import guards
+
+    sources = ws.stored_sources
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning" not in plan(guards.join_fanout(sources))
+        for grain in (["id_municipio", "rede_nome"], ["id_municipio"]):
+            first, *rest = [df for _, df, keys in sources if keys == grain]
+            assert len(rest) >= 4
+            for df in rest:
+                first = first.join(df, grain, "left")
+            assert "hashpartitioning" not in plan(first) and "SortMergeJoin" in plan(first)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_aggregations_sum_before_they_shuffle(ws):
     text = plan(ws.pupil_sums())
     assert text.count("partial_sum") >= 2 and "SortAggregate" not in text

@@ -101,6 +101,45 @@ def test_search_parameters_survive_csv(spark, tmp_path):
     assert back.select(F.from_json("p", "map<string,string>")["m"]).first()[0] == "a,b"
 
 
+def test_bucketed_result_is_built_once_and_again_when_cut_short(spark, tmp_path):
+    from pathlib import Path
+
+    path, built = str(tmp_path / "t"), []
+
+    def build():
+        built.append(1)
+        return spark.range(100).selectExpr("id % 7 as k", "id as v", "case when id = 3 then double('nan') else 1.0 end as x")
+
+    read = lambda: lake.bucketed_if_absent(spark, path, "teste_buckets", build, ["k"], 3)
+    try:
+        assert read().count() == 100 and read().where("x is null").count() == 1 and len(built) == 1
+        assert len(list(Path(path).glob("*.parquet"))) <= 3
+        (Path(path) / "_SUCCESS").unlink()
+        assert read().agg({"v": "sum"}).first()[0] == 4950 and len(built) == 2
+    finally:
+        spark.sql("drop table if exists teste_buckets")
+
+
+def test_fact_sums_agree_with_the_lines(spark, sf_dir):
+    """Enrolment, cycle results and means from the stored sums against plain pandas over all lines."""
+    import pandas as pd
+
+    from lettera.plans.workspace import Workspace
+
+    t = Workspace(spark, sf_dir).tables
+    raw = pd.read_parquet(f"{sf_dir}/lineitem.parquet")
+    raw["ano"] = pd.to_datetime(raw.l_shipdate).dt.year
+    assert t.matriculas([1998]).agg({"todos": "sum"}).first()[0] == (raw.ano == 1998).sum()
+    want = raw[raw.l_suppkey % 11 != 0].groupby(["ano", "l_suppkey", "l_linestatus"]).l_quantity.mean() / 50
+    got = t.avs().toPandas()
+    assert len(got) == len(want)
+    assert abs(sorted(got.ivs_capital_humano) - pd.Series(sorted(want))).max() < 1e-9
+    right = raw[(raw.l_discount > 0) & raw.l_returnflag.isin(["A", "R"])]
+    share = right[right.l_extendedprice >= 50000].l_quantity.sum() / right.l_quantity.sum()
+    five = t._cycle_sums().where("rede = '5'").agg({"wy": "sum", "w": "sum"}).first()
+    assert abs(five["sum(wy)"] / five["sum(w)"] - share) < 1e-12
+
+
 def test_two_cycles_do_not_share_tables(spark, sf_dir):
     from dataclasses import replace
 

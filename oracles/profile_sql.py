@@ -236,7 +236,7 @@ k AS (SELECT rank() OVER (ORDER BY d_inse) + (count(*) OVER (PARTITION BY d_inse
       FROM p_pares WHERE d_inse IS NOT NULL)
 SELECT corte, grupo, count(*) AS municipios, round(median(d), 6) AS diferenca_mediana,
        round(100.0::DOUBLE * avg((d > 0)::INTEGER), 6) AS estadual_maior_pct
-FROM l WHERE d IS NOT NULL GROUP BY corte, grupo HAVING corte <> 'UF' OR count(*) >= 10
+FROM l WHERE d IS NOT NULL GROUP BY corte, grupo
 UNION ALL SELECT 'spearman', 'diferença de INSE', count(*), round(corr(ra, rb), 6), NULL FROM k""",
     "network_share_by_state": """
 SELECT sigla_uf, count(*) FILTER (WHERE rede_nome = 'Estadual') AS "Estadual",

@@ -124,3 +124,29 @@ def test_several_fits_grow_side_by_side(spark):
         got = boosting.score_many(rows.withColumn("id", F.monotonically_increasing_id()), models).orderBy("fit", "id").toPandas()
         want = np.concatenate([1 / (1 + np.exp(-models[k].raw(parts[k][0]))) for k in "abc"])
         assert got.p.to_numpy() == pytest.approx(want)
+
+
+def test_rows_of_a_node_give_the_same_histograms(monkeypatch):
+    """Column by column and all columns at once sum the same rows in the same order."""
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 255, (500, 6)).astype(np.uint8)
+    g, h = rng.normal(size=500), rng.random(500)
+    at = np.flatnonzero(rng.random(500) < .6)
+    want = boosting.histograms(bins[at], g[at], h[at])
+    columns = np.ascontiguousarray(bins.T)
+    for many in (1, 10_000):
+        monkeypatch.setattr(boosting, "MANY_ROWS", many)
+        assert (boosting.histograms_at(columns, at, g, h) == want).all()
+
+
+def test_sets_of_columns_share_the_bins_of_a_part(spark):
+    rng = np.random.default_rng(4)
+    rows = spark.createDataFrame([(str(i % 2), Vectors.dense(rng.normal(size=3)), float(rng.random() < .5), 1.0) for i in range(200)],
+                                 ["fit", "features", "y", "w"])
+    ready = boosting.binned(rows)
+    both = ready.copied({"0": ["a/0", "b/0"], "1": ["a/1", "b/1"], "2": ["a/2"]})
+    assert set(both.sizes) == {"a/0", "b/0", "a/1", "b/1"} and both.rows.count() == 400
+    p = boosting.Params(max_iter=3, max_leaf_nodes=4, min_samples_leaf=5)
+    plain = boosting.Leafwise(p).fit_binned(ready, {k: [0, 2] for k in "01"})
+    shared = boosting.Leafwise(p).fit_binned(both, {f"{s}/{k}": cs for s, cs in (("a", [0, 1, 2]), ("b", [0, 2])) for k in "01"})
+    assert [shared[f"b/{k}"].nodes for k in "01"] == [plain[k].nodes for k in "01"]

@@ -245,3 +245,20 @@ def test_boosted_folds_of_several_sets(spark, tmp_path):
             model = mod.estimator(mod.BOOSTING, params, 0, 0).fit(folds.part(k, True, vs))
             one = M.measure(mod.score(model, folds.part(k, False, vs)).select("y", F.col("peso_linha").alias("w"), "p")).first()
             assert got[name, k] == pytest.approx(one.log_loss)
+
+
+def test_dependence_is_dealt_out_before_rows_meet_the_grid(spark, monkeypatch):
+    """Rows of one stored file are scored in many tasks."""
+    class Flat:
+        design, group = Design(["x"], []), "g"
+
+        def transform(self, df):
+            return df
+
+    rows = spark.range(50).coalesce(1).select((F.col("id") % 7).cast("double").alias("x"), F.lit("a").alias("g"), F.lit("amostra").alias("grupo"))
+    seen = []
+    monkeypatch.setattr(mod, "score", lambda _, df: seen.append(df) or df.withColumn("p", F.col("x")))
+    import tempfile
+    curve = mod.partial_dependence(mod.Fitted(Flat(), None, ["x"]), rows, ["x"], tempfile.mkdtemp())
+    assert seen[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism * mod.TASKS_A_CORE
+    assert {r.ponto: (r.media, r.linhas) for r in curve.collect()} == {float(v): (float(v), 50) for v in range(7)}

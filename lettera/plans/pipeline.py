@@ -152,7 +152,7 @@ def model_pupils(ws: Workspace, out: str, s: Settings = Settings(), design: Desi
     rate = train.agg((F.sum(F.col("peso") * F.col("alvo")) / F.sum("peso")).alias("m")).first().m
     flat = valid.select(F.lit(CONSTANT).alias("modelo"), "alunos", F.col("alvo").alias("y"), F.col("peso").alias("w"), F.lit(float(rate)).alias("p"))
     scores = _scores(final, valid, "alvo", F.col("peso")).unionByName(_references(valid, float(rate))).unionByName(flat)
-    seen = metrics.measure(scores, ["modelo"])
+    seen = modeling.measured(scores, ["modelo"])
     table = comparison(best, _fold_references(train, seed, s.folds), seen)
     lake.write_report(table, f"{out}/reports/comparacao_modelos", 5)
     lake.write_report(default_logistics(folds[True], design), f"{out}/reports/referencias_logisticas", 5) if True in folds else None
@@ -208,8 +208,8 @@ def by_variables(ws: Workspace, out: str, s: Settings, design: Design, sets: dic
 
 def _measured_networks(scores: DataFrame, least: int) -> DataFrame:
     """Metrics of each model, and its AUC over networks of `least` pupils or more."""
-    stable = metrics.measure(scores.where(F.col("alunos") >= least), ["modelo"]).select("modelo", F.col("auc").alias("auc_redes_estaveis"))
-    return metrics.measure(scores, ["modelo"]).join(stable, "modelo", "left")
+    stable = modeling.measured(scores.where(F.col("alunos") >= least), ["modelo"]).select("modelo", F.col("auc").alias("auc_redes_estaveis"))
+    return modeling.measured(scores, ["modelo"]).join(stable, "modelo", "left")
 
 
 def model_networks(ws: Workspace, out: str, s: Settings = Settings(),
@@ -268,7 +268,7 @@ def rebuilt(ws: Workspace, register: str, out: str) -> tuple[Fitted, Recipe]:
     """The registered network model, learned again from the register's text; it has to give the registered AUC."""
     recipe = Recipe.read(ws.spark, register)
     model = recipe.refit(part(ws, TRAIN, VALID), out)
-    again = metrics.measure(model.score(part(ws, TEST)).select(F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), "p"))
+    again = modeling.measured(model.score(part(ws, TEST)).select(F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), "p"))
     guards.enforce(replayed(recipe, again).where("not confere"), "the recipe does not replay")
     return model, recipe
 
@@ -277,7 +277,7 @@ def answer_questions(ws: Workspace, out: str, model: Fitted, registered_auc: flo
                      s: Settings = Settings()) -> dict[str, DataFrame]:
     """Five answers from the final model, each written as a CSV report."""
     test, target, seed = part(ws, TEST), ws.cycle.unit_target, ws.cycle.seed
-    again = metrics.measure(model.score(test).select(F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), "p"))
+    again = modeling.measured(model.score(test).select(F.col("bateu_meta").alias("y"), F.lit(1).alias("w"), "p"))
     if registered_auc is not None:
         guards.enforce(again.where(F.abs(F.col("auc") - registered_auc) > 1e-4), "the model does not replay")
     model.score(ws.redes, "p_cumprir").write.mode("overwrite").parquet(f"{out}/pontuadas")

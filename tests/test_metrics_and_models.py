@@ -262,3 +262,59 @@ def test_dependence_is_dealt_out_before_rows_meet_the_grid(spark, monkeypatch):
     curve = mod.partial_dependence(mod.Fitted(Flat(), None, ["x"]), rows, ["x"], tempfile.mkdtemp())
     assert seen[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism * mod.TASKS_A_CORE
     assert {r.ponto: (r.media, r.linhas) for r in curve.collect()} == {float(v): (float(v), 50) for v in range(7)}
+
+
+class Flat:
+    """A preparation that changes nothing."""
+    design, group = Design(["x"], []), "g"
+
+    def transform(self, df):
+        return df
+
+
+def test_a_permuted_row_is_scored_once(spark, monkeypatch):
+    """Rows are dealt out before they meet the blocks, and the model looks at each of them one time."""
+    calls, tasks = spark.sparkContext.accumulator(0), []
+
+    @F.udf("double")
+    def p(x):
+        calls.add(1)
+        return x / 50
+
+    def score(_, df, name="p"):
+        tasks.append(df)
+        return df.withColumn(name, p("x"))
+
+    monkeypatch.setattr(mod, "score", score)
+    rows = spark.range(40).coalesce(1).select(F.col("id").alias("unidade"), F.col("id").cast("double").alias("x"), F.lit("a").alias("g"),
+                                              (F.col("id") % 2).alias("bateu_meta"))
+    got = mod.permutation(mod.Fitted(Flat(), None, ["x"]), rows, {"a": ["x"], "b": ["x"]}, 3, 1).collect()
+    assert {r.bloco for r in got} == {"a", "b"} and calls.value == 40 + 40 * 2 * 3
+    assert tasks[1].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism * mod.TASKS_A_CORE
+
+
+def test_rows_of_few_files_are_fitted_in_many_tasks(spark, tmp_path, monkeypatch):
+    seen, real = [], mod.estimator
+
+    class Watch:
+        def __init__(self, *args):
+            self.args = args
+
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return real(*self.args).fit(rows)
+
+    monkeypatch.setattr(mod, "ROWS_A_TASK", 20)
+    monkeypatch.setattr(mod, "estimator", Watch)
+    units = data(spark, 90)
+    family, params = RECIPES[2]
+    one, two = (mod.fit(d, DESIGN, family, params, 7, str(tmp_path / "m")) for d in (units.coalesce(1), units.repartition(3)))
+    p = lambda m: sorted((r.unidade, r.p) for r in m.score(units).select("unidade", "p").collect())
+    assert seen == [4, 4] and p(one) == p(two)          # the same rows, wherever they lie, give the same forest
+    mod.cross_validate(mod.Folds(units, DESIGN, False, str(tmp_path / "f"), 42, 2), family, params, {"familia": family}).collect()
+    assert seen[2:] == [2, 2]
+
+
+def test_few_rows_stay_as_they_are(spark):
+    rows = spark.range(10)
+    assert mod.dealt(rows, 10) is rows

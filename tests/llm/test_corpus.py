@@ -160,6 +160,18 @@ def test_byte_bpe_equals_the_library(spark, docs):
     assert byte_bpe.encode(d.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_the_fold_on_numbers_equals_the_one_on_bytes(spark):
+    """Also with a vocabulary that has no token for some byte, which stays with the fold on bytes."""
+    base, pairs = byte_bpe.pair_ranks(RANKS)
+    single = [RANKS[bytes([b])] for b in range(256)]
+    words = [w.encode() for t in TRICKY[:6] for w in t.split(" ")] + [" thonerha".encode(), b"a" * 150, b"ab" * 99, bytes(range(256)), b""]
+    for w in words:
+        assert byte_bpe.fold_numbers(w, RANKS, base, pairs, single) == byte_bpe.fold(w, RANKS)
+    few = {b"a": 0, b"b": 1, b"ab": 2, b"aab": 3}
+    d = spark.createDataFrame([(1, "aabab"), (2, "b")], "doc_id long, text string")
+    assert sorted((r.doc_id, list(r.ids)) for r in byte_bpe.encode(d, few, r"\S+").collect()) == [(1, [3, 2]), (2, [1])]
+
+
 def test_the_native_fold_equals_the_other(spark):
     words = sorted({w for t in TRICKY[:6] for w in t.split(" ") if w} | {" thonerha", "éçmentelle", "zzzz", "the"})
     got = byte_bpe.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), RANKS).collect()

@@ -1,8 +1,8 @@
 """Byte-level BPE: ranked merges folded over the distinct words of a batch.
 
 Texts are split by the tokenizer's pattern. The bytes of a word are a list, and a fold joins the pair of
-lowest rank until no pair has one. The fold exists twice: as higher-order functions with a literal rank
-map (`merged`), and on byte strings inside a task (`fold`), which encodes documents. Decoding looks up the
+lowest rank until no pair has one. The fold exists as higher-order functions with a literal rank
+map (`merged`), and inside a task (`fold_numbers`, and `fold` on byte strings), which encodes documents. Decoding looks up the
 bytes of each token in a literal and concatenates them.
 """
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Byte-level BPE: ranked merges folded over the distinct words of a batch.
+"""Byte-level BPE: ranked merges folded over the words of a task that are not remembered.
 
 Texts are split by the tokenizer's pattern. The bytes of a word are a list, and a fold joins the pair of
 lowest rank until no pair has one. The fold exists as higher-order functions with a literal rank
@@ -9,13 +9,12 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from heapq import heapify, heappop, heappush
-from itertools import count
+from itertools import batched
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -28,6 +27,10 @@ BUCKETS = 1 << 16
 _NONE = 2 ** 31 - 1
 #: Bytes of a word beyond which its pairs wait in a heap, so that time does not grow with the square.
 LONG = 200
+#: Bytes of a word up to which it is folded together with others, and how many of them at once.
+SHORT, AT_ONCE = 32, 4096
+#: Words that are looked up at once; a text of more characters is cut into words bit by bit.
+RUN = 20_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -166,47 +169,125 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         merged(F.col("_hex"), ranks, literal)).alias("ids"))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 150_000) -> DataFrame:
+def pair_arrays(base: int, pairs: dict[int, int], single: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """`pair_ranks` in order of its keys, the tokens of the bytes, and for each two bytes their pair's rank."""
+    keys = np.fromiter(pairs, np.int64, len(pairs))
+    order, one = np.argsort(keys), np.array(single, np.int64)
+    two = np.array([pairs.get(a * base + b, _NONE) for a in single for b in single], np.int32)
+    return keys[order], np.fromiter(pairs.values(), np.int32, len(pairs))[order], one, two
+
+
+def fold_many(pieces: list[bytes], base: int, keys: np.ndarray, values: np.ndarray, one: np.ndarray, two: np.ndarray) -> list[bytes]:
+    """The tokens of words with a byte at least, as 32-bit numbers: the merges of `fold_numbers`, one of each word at a time.
+
+    A row is a word: a part's token stands in the column of its first byte, -1 in the others and in one more at both ends.
+    """
+    n, width = len(pieces), max(map(len, pieces))
+    raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(n, width)
+    inside = np.arange(width) < np.fromiter(map(len, pieces), np.int64, n)[:, None]
+    ids = np.full((n, width + 2), -1, np.int64)
+    ids[:, 1:-1] = np.where(inside, one[raw], -1)
+    rank = np.full((n, width + 2), _NONE, np.int32)
+    rank[:, 1:-2] = np.where(inside[:, 1:], two[raw[:, :-1].astype(np.int32) * 256 + raw[:, 1:]], _NONE)
+    after, before = (np.tile(np.arange(i, width + 2 + i, dtype=np.int32), (n, 1)) for i in (1, -1))
+    rows = np.arange(n)
+    while True:
+        k = rank[rows].argmin(1)
+        low = rank[rows, k]
+        more = low != _NONE
+        rows, k, low = rows[more], k[more], low[more]
+        if not len(rows):
+            break
+        gone, left = after[rows, k], before[rows, k]
+        right = after[rows, gone]
+        ids[rows, k], ids[rows, gone], rank[rows, gone] = low, -1, _NONE
+        after[rows, k], before[rows, right] = right, k
+        first, second = np.concatenate([low, ids[rows, left]]), np.concatenate([ids[rows, right], low])
+        sought = first * base + second
+        at = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
+        fresh = np.where((keys[at] == sought) & (first >= 0) & (second >= 0), values[at], _NONE)
+        rank[rows, k], rank[rows, left] = fresh[:len(rows)], fresh[len(rows):]
+    kept = ids >= 0
+    tokens, ends = ids[kept].astype(np.int32).tobytes(), np.cumsum(kept.sum(1) * 4).tolist()
+    return [tokens[i:j] for i, j in zip([0, *ends], ends)]
+
+
+def folded(words: list[str], ranks: dict[bytes, int], numbered: tuple | None) -> dict[str, bytes]:
+    """The tokens of each word as 32-bit numbers; short words by `fold_many`, `AT_ONCE` of about the same length at a time."""
+    found, short = {}, []
+    for w in words:
+        piece = w.encode()
+        if numbered and 0 < len(piece) <= SHORT and piece not in ranks:
+            short.append((len(piece), piece, w))
+        else:
+            found[w] = array("i", fold_numbers(piece, ranks, *numbered[0]) if numbered else fold(piece, ranks)).tobytes()
+    short.sort()
+    for part in batched(short, AT_ONCE):
+        found.update(zip([w for _, _, w in part], fold_many([piece for _, piece, _ in part], numbered[0][0], *numbered[1])))
+    return found
+
+
+def runs(texts: Iterable[pa.Scalar], pattern: str) -> Iterator[list[tuple[int, Sequence[str]]]]:
+    """The words of the texts in order, as lists of (place of the text, some of its words) with about `RUN` words in each."""
+    compiled, run, size = regex.compile(pattern), [], 0
+    for i, text in enumerate(texts):
+        text = text.as_py() or ""
+        parts = [compiled.findall(text)] if len(text) <= RUN else batched((m[0] for m in compiled.finditer(text)), RUN)
+        for words in parts:
+            run.append((i, words))
+            size += len(words)
+            if size >= RUN:
+                yield run
+                run, size = [], 0
+    yield run
+
+
+def encode_batches(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int], numbered: tuple | None, pattern: str,
+                   most_words: int) -> Iterator[pa.RecordBatch]:
+    """Batches of doc_id and text as batches of doc_id and ids.
+
+    Beside a batch and its tokens, memory holds the words of a run, and the tokens of at most twice `most_words` and a run's words.
+    """
+    known, older = {}, {}
+    for batch in batches:
+        tokens, sizes = bytearray(), np.zeros(batch.num_rows + 1, np.int32)
+        for run in runs(batch.column(1), pattern):
+            if len(known) > most_words:
+                known, older = {}, known
+            new = {w for _, words in run for w in words if w not in known}
+            known.update((w, older[w]) for w in new if w in older)
+            known.update(folded([w for w in new if w not in older], ranks, numbered))
+            for i, words in run:
+                own = b"".join(map(known.__getitem__, words))
+                tokens += own
+                sizes[i + 1] += len(own) // 4
+        ends = np.cumsum(sizes, dtype=np.int32)
+        ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(tokens)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), ids)], ["doc_id", "ids"])
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 50_000) -> DataFrame:
     """(doc_id, ids): the tokens of each row's whole text, as array<int>.
 
-    `pattern` cuts a text into words, each encoded apart, without special tokens. A batch folds each of its
-    distinct words once; a task remembers words it has folded, and beyond
-    `most_words` of them only those that come again. Nothing is
+    `pattern` cuts a text into words, each encoded apart, without special tokens. A task remembers words it has
+    folded, and beyond `most_words` of them only those that come again. Nothing is
     shuffled, and the rank map is as long as the vocabulary. Null and empty texts have no tokens; null doc_ids
     stay; repeated rows get equal tokens; other columns of `docs` are not looked at. An empty table gives an
     empty one.
     """
-    bounded_batches(docs.sparkSession, 2048, 16_000_000)
+    bounded_batches(docs.sparkSession)
     single = [ranks.get(bytes([b]), -1) for b in range(256)]
-    numbered = (*pair_ranks(ranks), single) if min(single) >= 0 else None       # without a token for each byte on byte strings
+    numbered = None                                                  # without a token for each byte, words are folded on byte strings
+    if min(single) >= 0:
+        base, pairs = pair_ranks(ranks)
+        numbered = ((base, pairs, single), pair_arrays(base, pairs, single)) if pairs else None
     shared = docs.sparkSession.sparkContext.broadcast((ranks, numbered))
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, known, older, (ranked, numbered) = regex.compile(pattern).findall, {}, {}, shared.value
-        tokens = (lambda w: fold_numbers(w, ranked, *numbered)) if numbered else (lambda w: fold(w, ranked))
-        for batch in batches:
-            if len(known) > most_words:
-                known, older = {}, known
-            place: defaultdict[str, int] = defaultdict(count().__next__)
-            numbers = []
-            for t in batch["text"]:
-                words = split(t or "")
-                numbers.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)))
-            for w in place:
-                if w not in known:
-                    known[w] = older.get(w) or array("i", tokens(w.encode())).tobytes()
-            pieces = [known[w] for w in place]
-            sizes = np.array([len(x) // 4 for x in pieces], np.int64)
-            flat, starts = np.frombuffer(b"".join(pieces), np.int32), np.cumsum(sizes) - sizes
-            ids = []
-            for own in numbers:
-                size = sizes[own]
-                within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                ids.append(flat[np.repeat(starts[own], size) + within])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids})
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return encode_batches(batches, *shared.value, pattern, most_words)
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text"))
-    d = rows.mapInPandas(work, "doc_id long, ids array<int>")
+    d = rows.mapInArrow(work, "doc_id long, ids array<int>")
     return d.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "ids")
 
 

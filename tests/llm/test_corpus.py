@@ -3,10 +3,12 @@ import collections
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -172,6 +174,39 @@ def test_the_fold_on_numbers_equals_the_one_on_bytes(spark):
     assert sorted((r.doc_id, list(r.ids)) for r in byte_bpe.encode(d, few, r"\S+").collect()) == [(1, [3, 2]), (2, [1])]
 
 
+def numbered():
+    base, pairs = byte_bpe.pair_ranks(RANKS)
+    single = [RANKS[bytes([b])] for b in range(256)]
+    return (base, pairs, single), byte_bpe.pair_arrays(base, pairs, single)
+
+
+def test_words_folded_together_equal_words_folded_alone():
+    rng = np.random.default_rng(3)
+    letters = list("aeinorst é中😀\x00\x85")
+    words = sorted({"".join(rng.choice(letters, n)) for n in rng.integers(1, 40, 3000)} | {"", "=" * 300, "the", "z" * 32, "z" * 33})
+    got = byte_bpe.folded(words, RANKS, numbered())
+    assert {w: np.frombuffer(b, np.int32).tolist() for w, b in got.items()} == {w: byte_bpe.fold(w.encode(), RANKS) for w in words}
+
+
+def test_encoding_remembers_a_bounded_number_of_words(monkeypatch):
+    """New words in every text, which once were all remembered with the words of two long batches; the last text is cut bit by bit."""
+    rng, pattern = np.random.default_rng(4), public_tokenizers.PATTERN
+    texts = [" ".join(map("".join, rng.choice(list("aeinorst"), (500, 9)))) for _ in range(200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(203)), "text": [*texts, None, "", " ".join(texts[:6])]})
+    n = numbered()
+    monkeypatch.setattr(byte_bpe, "RUN", 2000)
+    tracemalloc.start()
+    try:
+        got = [b for b in byte_bpe.encode_batches(iter([batch, batch.slice(200), batch.slice(0, 0)]), RANKS, n, pattern, 3000)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [b.num_rows for b in got] == [203, 3, 0] and peak < 10_000_000
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=RANKS, special_tokens={})
+    want = [library.encode_ordinary(t or "") for t in batch.column(1).to_pylist()]
+    assert got[0].column(1).to_pylist() == want and got[1].column(1).to_pylist() == want[200:]
+
+
 def test_the_native_fold_equals_the_other(spark):
     words = sorted({w for t in TRICKY[:6] for w in t.split(" ") if w} | {" thonerha", "éçmentelle", "zzzz", "the"})
     got = byte_bpe.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), RANKS).collect()

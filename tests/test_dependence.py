@@ -73,3 +73,22 @@ def test_rows_walk_in_chunks_whatever_the_batches(monkeypatch):
     batches = [pa.RecordBatch.from_pydict({"a": pa.array(range(k, k + n), pa.int64())}) for k, n in ((0, 3), (3, 0), (3, 20), (23, 7))]
     found = [t.column(0).to_pylist() for t in dep.chunks(iter(batches))]
     assert [v for f in found for v in f] == list(range(30)) and [len(f) for f in found] == [8, 8, 8, 6]
+
+
+def test_the_table_of_factors_follows_from_the_walk(units, fitted, tmp_path, monkeypatch):
+    """Effects, regions that agree and verdicts are those of the curves that the model's own scores give."""
+    factors = {"x": ("X", "educação", "+"), "z": ("Z", "outra pasta", "-"), "few": ("F", "território", "?")}
+    order = {"educação": 0, "outra pasta": 1, "território": 2}
+
+    def found(name):
+        curve = mod.partial_dependence(fitted, in_groups(units), list(factors), str(tmp_path / name))
+        return [tuple(r) for r in mod.factor_table(mod.factor_effects(curve, units, list(factors)), factors, order).collect()]
+
+    real, calls = mod.score, []
+    monkeypatch.setattr(mod, "score", lambda *a: calls.append(a) or real(*a))
+    got = found("a")
+    assert not calls and [r[0] for r in got] == ["x", "z", "few"]
+    monkeypatch.setattr(dep, "MOST_CELLS", 0)
+    for a, b in zip(got, found("b"), strict=True):
+        assert a[:6] + a[7:] == b[:6] + b[7:] and a[6] == pytest.approx(b[6], abs=1e-9)
+    assert calls
